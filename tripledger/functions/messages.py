@@ -16,6 +16,7 @@ _FIELDS = "transaction_id STRING, user_id STRING, timestamp STRING, amount STRIN
 _STRICT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed", "allowSingleQuotes": "false"}
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _GREATEST_AMOUNT = 1e15
+_SPACE = " \t\r\n"
 
 PARSED = ("transaction_id", "user_id", "event_time", "amount_text", "status")
 ERROR, INVALID, MISSING_FIELDS, VALID = "error", "invalid", "missing", "valid"
@@ -29,10 +30,12 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     nor the text format. A status that is absent or null reads 'unknown'.
     """
     raw = F.col(value)
-    parsed = messages.withColumn("_json", F.from_json(raw, _FIELDS, _STRICT))
+    # Only what may be an object goes to the JSON parser: failing it is slow.
+    opened = F.startswith(F.ltrim(raw, F.lit(_SPACE)), F.lit("{"))
+    parsed = messages.withColumn("_json", F.when(opened, F.from_json(raw, _FIELDS, _STRICT)))
     json = F.col("_json")
     # The parser stops after the object; text behind it makes the message invalid.
-    closed = F.endswith(F.rtrim(raw, F.lit(" \t\r\n")), F.lit("}"))
+    closed = F.endswith(F.rtrim(raw, F.lit(_SPACE)), F.lit("}"))
     well_formed = json.isNotNull() & json["malformed"].isNull()
     text = "(?U)" + fv.TEXT_MESSAGE
     shape = (

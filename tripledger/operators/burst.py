@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripledger import fixed_values as fv
-from tripledger.operators.skew import among, not_among
+from tripledger.operators.skew import KeyProfile, among, not_among, profile_keys
 
 
 def burst_detect(
@@ -14,23 +16,30 @@ def burst_detect(
     *,
     count: int = fv.BURST_COUNT,
     seconds: int = fv.BURST_SECONDS,
-    hot_users: dict[str, int] | None = None,
+    skew: KeyProfile | None = None,
 ) -> DataFrame:
     """Adds `burst_count`, the user's transactions in the closed range `[t - seconds, t]`,
-    and `is_burst`. A transaction without a time is in no burst.
+    and `is_burst`. A transaction without a user or a time is in no burst.
 
-    Users named in `hot_users` fold to one row per distinct time first, and their history
-    is cut into stretches of the range's length; no other user pays for that.
+    Users with very many rows fold to one row per distinct time first, and their history is
+    cut into stretches of the range's length; no other user pays for that. They are looked
+    for when the input is large; `skew` takes a profile made before (`KeyProfile()` for none).
     """
+    if skew is None:
+        skew = profile_keys({"txns": txns}, "user_id")["txns"]
     micros = seconds * 1_000_000
     timed = txns.withColumn("_at", F.unix_micros(F.col("event_time").cast("timestamp")))
-    if not hot_users:
-        counted = _windowed(timed, micros)
-    else:
-        user = F.col("user_id")
-        cold = _windowed(timed.filter(not_among(user, hot_users)), micros)
-        counted = cold.unionByName(_stretched(timed.filter(among(user, hot_users)), micros))
-    known = F.when(F.col("_at").isNull(), F.lit(0).cast("long")).otherwise(F.col("burst_count"))
+    user = F.col("user_id")
+    parts = []
+    if skew.null_keys:
+        parts.append(timed.filter(user.isNull()).withColumn("burst_count", F.lit(0).cast("long")))
+        timed = timed.filter(user.isNotNull())
+    if skew.hot:
+        parts.append(_stretched(timed.filter(among(user, skew.hot)), micros))
+        timed = timed.filter(not_among(user, skew.hot))
+    counted = reduce(DataFrame.unionByName, [_windowed(timed, micros), *parts])
+    nowhere = user.isNull() | F.col("_at").isNull()
+    known = F.when(nowhere, F.lit(0).cast("long")).otherwise(F.col("burst_count"))
     return (
         counted.withColumn("burst_count", known)
         .withColumn("is_burst", F.col("burst_count") >= count)

@@ -44,12 +44,7 @@ def user_features(
     """
     volume = user_volume(txns, grain=grain, exact_amounts=exact_amounts)
     profile = user_profile(txns, distinct=distinct, exact_amounts=exact_amounts)
-    # Both sides have one row per user, already partitioned by user; a union keeps the group
-    # of rows without user, which a join would lose.
-    both = volume.unionByName(profile, allowMissingColumns=True)
-    merged = both.groupBy("user_id").agg(
-        *[F.max(c).alias(c) for c in both.columns if c != "user_id"]
-    )
+    merged = _merge_users(volume, profile)
     return merged.select(
         "user_id",
         *[c for c in merged.columns if c != "user_id"],
@@ -84,12 +79,13 @@ def user_profile(
     txns: DataFrame, *, distinct: str = "exact", exact_amounts: bool = True
 ) -> DataFrame:
     """Amount statistics, distinct places/devices/addresses/cards, failures of every user."""
-    return (
-        txns.groupBy("user_id")
-        .agg(*_amount_parts(exact_amounts), *_diversity(distinct), *_failure_parts())
-        .select(
-            "user_id", *_amount_stats(exact_amounts), *DIVERSITY, "failed_txn_count", _failed_ratio()
-        )
+    sums = txns.groupBy("user_id").agg(*_amount_parts(exact_amounts), *_failure_parts())
+    sums = sums.select("user_id", *_amount_stats(exact_amounts), "failed_txn_count", _failed_ratio())
+    # Exact distinct counts multiply the rows they read; the sums stay out of that.
+    merged = _merge_users(sums, user_diversity(txns, distinct=distinct))
+    return merged.select(
+        "user_id", "avg_txn_amount", "stddev_txn_amount", "max_txn_amount", "min_txn_amount",
+        *DIVERSITY, "failed_txn_count", "failed_txn_ratio",
     )
 
 
@@ -162,6 +158,13 @@ def summarize(features: DataFrame, limit: float = fv.HIGH_RISK_ABOVE) -> DataFra
 # ---------------------------------------------------------------- parts
 
 
+def _merge_users(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Columns of two relations with one row per user. Both are partitioned by user already;
+    a union keeps the group of rows without user, which a join would lose."""
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.groupBy("user_id").agg(*[F.max(c).alias(c) for c in both.columns if c != "user_id"])
+
+
 def _hour_key() -> list[Column]:
     return [F.to_date("event_time").alias("day"), F.hour("event_time").alias("hour")]
 

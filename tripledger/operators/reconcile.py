@@ -6,7 +6,7 @@ from datetime import datetime
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripledger import fixed_values as fv
@@ -40,28 +40,22 @@ def reconcile(
     separate rows. An id that occurs n times in a channel gives n rows, unless
     `dedupe="latest"` keeps each channel's newest row per id.
 
-    `skew` comes from `profile_reconcile`; ids it names are salted instead of meeting in
-    one task. It changes the plan, never the rows.
+    Ids with very many rows are salted instead of meeting in one task. They are looked for
+    when the inputs are large; `skew` takes a profile made before, or `{}` for none. It
+    changes the plan, never the rows.
     """
     if key_mode not in KEY_MODES:
         raise ValueError(f"key_mode is one of {KEY_MODES}")
     frames = dict(zip(CHANNELS, (bank, gateway, processor)))
-    sides = {c: _prefixed(df, c) for c, df in frames.items()}
     if dedupe == "latest":
         matched = _match_latest(frames, key_mode)
     elif dedupe is None:
-        matched = _match_skewed(sides, key_mode, skew or {}, rows_per_salt)
+        matched = _match_skewed(frames, key_mode, skew, rows_per_salt)
     else:
         raise ValueError("dedupe is None or 'latest'")
     return _judge(matched, CHANNELS, tolerance, exact, as_of)
 
 
-def profile_reconcile(
-    bank: DataFrame, gateway: DataFrame, processor: DataFrame, **limits
-) -> dict[str, KeyProfile]:
-    return profile_keys(dict(zip(CHANNELS, (bank, gateway, processor))), "transaction_id", **limits)
-
-
 def compare_two(
     left: DataFrame,
     right: DataFrame,
@@ -70,12 +64,12 @@ def compare_two(
     tolerance: float = fv.AMOUNT_TOLERANCE,
     exact: bool = False,
     as_of: datetime | None = None,
+    skew: dict[str, KeyProfile] | None = None,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """The same report for two channels."""
-    a, b = channels
-    matched = _prefixed(left, a).join(
-        _prefixed(right, b), F.col(f"{a}_id") == F.col(f"{b}_id"), "full"
-    )
+    frames = dict(zip(channels, (left, right)))
+    matched = _match_skewed(frames, "coalesced", skew, rows_per_salt)
     return _judge(matched, channels, tolerance, exact, as_of)
 
 
@@ -118,19 +112,14 @@ def _prefixed(df: DataFrame, channel: str) -> DataFrame:
     )
 
 
-def _second_key(key_mode: str) -> Column:
-    bank, gateway, _ = CHANNELS
-    if key_mode == "bank":
-        return F.col(f"{bank}_id")
-    return F.coalesce(f"{bank}_id", f"{gateway}_id")
-
-
 def _match(sides: dict[str, DataFrame], key_mode: str) -> DataFrame:
-    bank, gateway, processor = CHANNELS
-    two = sides[bank].join(sides[gateway], F.col(f"{bank}_id") == F.col(f"{gateway}_id"), "full")
-    return two.join(sides[processor], _second_key(key_mode) == F.col(f"{processor}_id"), "full")
-
-
+    first, second, *rest = sides
+    ids = [F.col(f"{first}_id"), F.col(f"{second}_id")]
+    matched = sides[first].join(sides[second], ids[0] == ids[1], "full")
+    key = ids[0] if key_mode == "bank" else F.coalesce(*ids)
+    for channel in rest:
+        matched = matched.join(sides[channel], key == F.col(f"{channel}_id"), "full")
+    return matched
 
 
 def _union(frames) -> DataFrame:
@@ -138,10 +127,16 @@ def _union(frames) -> DataFrame:
 
 
 def _match_skewed(
-    sides: dict[str, DataFrame], key_mode: str, skew: dict[str, KeyProfile], rows_per_salt: int
+    frames: dict[str, DataFrame],
+    key_mode: str,
+    skew: dict[str, KeyProfile] | None,
+    rows_per_salt: int,
 ) -> DataFrame:
+    if skew is None:
+        skew = profile_keys(frames, "transaction_id")
+    sides = {c: _prefixed(df, c) for c, df in frames.items()}
     hot = _anchors(skew)
-    no_id = [c for c in CHANNELS if c in skew and skew[c].null_keys > 0]
+    no_id = [c for c in sides if c in skew and skew[c].null_keys > 0]
     if not hot and not no_id:
         return _match(sides, key_mode)
     ids = list(hot)
@@ -157,10 +152,8 @@ def _match_skewed(
     if key_mode == "bank" and ids:
         hot, orphans = _split_by_bank(sides, hot)
         if orphans:
-            parts += [
-                sides[c].filter(among(F.col(f"{c}_id"), orphans)) for c in CHANNELS[1:]
-            ]
-    for anchor in CHANNELS:
+            parts += [sides[c].filter(among(F.col(f"{c}_id"), orphans)) for c in CHANNELS[1:]]
+    for anchor in sides:
         mine = {i: n for i, (c, n) in hot.items() if c == anchor}
         if mine:
             parts.append(_match_hot(sides, anchor, mine, rows_per_salt))
@@ -206,7 +199,7 @@ def _match_hot(
         .withColumn("salt", stable_salt(F.col("salts"), *facts))
         .drop("salts")
     )
-    for other in CHANNELS:
+    for other in sides:
         if other == anchor:
             continue
         repeated = (

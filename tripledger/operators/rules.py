@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripledger import fixed_values as fv
 from tripledger.functions import alerts, money
 from tripledger.functions.messages import ALERT
-from tripledger.operators.skew import among, not_among
+from tripledger.operators.skew import KeyProfile, among, not_among, profile_keys
 from tripledger.sources.scratch import materialize
 
 TIE_BREAKERS = ("source", "amount", "status")
@@ -22,7 +22,7 @@ def fraud_rules(
     *,
     threshold: float = fv.LARGE_AMOUNT,
     order_by: Sequence[str] = ("event_time", "transaction_id"),
-    hot_users: dict[str, int] | None = None,
+    skew: KeyProfile | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Every valid transaction with its user's running count and total and the rules it breaks.
@@ -31,7 +31,7 @@ def fraud_rules(
     (see `functions.messages.classify`): others never count.
     """
     counted = running_totals(
-        txns, order_by=order_by, hot_users=hot_users, rows_per_slice=rows_per_slice
+        txns, order_by=order_by, skew=skew, rows_per_slice=rows_per_slice
     )
     return alerts.apply_rules(counted, threshold)
 
@@ -40,21 +40,24 @@ def running_totals(
     txns: DataFrame,
     *,
     order_by: Sequence[str] = ("event_time", "transaction_id"),
-    hot_users: dict[str, int] | None = None,
+    skew: KeyProfile | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Adds `txn_count` and `txn_total` (exact, as double).
 
-    Users named in `hot_users` (user -> rows, from `skew.profile_keys`) have their history
-    cut into slices of about `rows_per_slice` rows; each slice is summed on its own and
-    starts from the total of the slices before it. All other users take one window.
+    Users with very many rows have their history cut into slices of about `rows_per_slice`
+    rows; each slice is summed on its own and starts from the total of the slices before it.
+    All other users take one window. Such users are looked for when the input is large;
+    `skew` takes a profile made before (`KeyProfile()` for none).
     """
+    if skew is None:
+        skew = profile_keys({"txns": txns}, "user_id")["txns"]
     order = [*order_by, *[c for c in TIE_BREAKERS if c in txns.columns and c not in order_by]]
-    if not hot_users:
+    if not skew.hot:
         return _finish(_windowed(txns, ["user_id"], order))
     user = F.col("user_id")
-    cold = _windowed(txns.filter(not_among(user, hot_users)), ["user_id"], order)
-    hot = _sliced(txns.filter(among(user, hot_users)), order, hot_users, rows_per_slice)
+    cold = _windowed(txns.filter(not_among(user, skew.hot)), ["user_id"], order)
+    hot = _sliced(txns.filter(among(user, skew.hot)), order, skew.hot, rows_per_slice)
     return _finish(cold.unionByName(hot))
 
 

@@ -39,9 +39,8 @@ def reconcile_job(
         c: raw.load_topic(spark, f"{settings.raw_root}/{t}", lo, hi, on_missing=on_missing)
         for c, t in topics.items()
     }
-    skew = recon.profile_reconcile(**frames)
     as_of = datetime.now(timezone.utc)
-    report = recon.reconcile(**frames, skew=skew, as_of=as_of, **options)
+    report = recon.reconcile(**frames, as_of=as_of, **options)
     path = f"{settings.reconciled_root}/{table}"
     # Merged and summarized below: computed once.
     dated = materialize(report.withColumn("event_date", F.to_date("event_time")), "report")

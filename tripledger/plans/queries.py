@@ -111,8 +111,7 @@ REPORT = (
 
 
 def _reconciled(spark, sf_dir, **options):
-    frames = views.channels(spark, sf_dir)
-    return reconcile.reconcile(**frames, skew=reconcile.profile_reconcile(**frames), **options)
+    return reconcile.reconcile(**views.channels(spark, sf_dir), **options)
 
 
 def recon_detail(spark, sf_dir):
@@ -165,7 +164,7 @@ def recon_duplicates(spark, sf_dir):
 def recon_hot_ids(spark, sf_dir):
     """The same with repeated ids treated as hot: salted, row by row."""
     frames = views.line_channels(spark, sf_dir)
-    profile = reconcile.profile_reconcile(**frames, min_rows=2, skip_below_bytes=0)
+    profile = skew.profile_keys(frames, "transaction_id", min_rows=2, skip_below_bytes=0)
     report = reconcile.reconcile(**frames, skew=profile, rows_per_salt=1)
     return _ntz(report).select(*REPORT)
 
@@ -252,9 +251,7 @@ RULES = (
 
 
 def fraud_rules(spark, sf_dir):
-    source = views.payments(spark, sf_dir)
-    hot = skew.profile_keys({"payments": source}, "user_id")["payments"].hot
-    return rules.fraud_rules(source, hot_users=hot).select(*RULES)
+    return rules.fraud_rules(views.payments(spark, sf_dir)).select(*RULES)
 
 
 def fraud_rules_hot_users(spark, sf_dir):
@@ -262,7 +259,7 @@ def fraud_rules_hot_users(spark, sf_dir):
     source = views.payments(spark, sf_dir)
     profile = skew.profile_keys({"payments": source}, "user_id", min_rows=1, skip_below_bytes=0)
     found = profile["payments"]
-    judged = rules.fraud_rules(source, hot_users=found.hot, rows_per_slice=found.rows // 16 + 1)
+    judged = rules.fraud_rules(source, skew=found, rows_per_slice=found.rows // 16 + 1)
     return judged.select(*RULES)
 
 
@@ -298,7 +295,7 @@ def burst_detect_hot_users(spark, sf_dir):
     """The same with every user treated as hot."""
     source = views.payments(spark, sf_dir)
     profile = skew.profile_keys({"payments": source}, "user_id", min_rows=1, skip_below_bytes=0)
-    found = burst.burst_detect(source, hot_users=profile["payments"].hot, **BURST)
+    found = burst.burst_detect(source, skew=profile["payments"], **BURST)
     return found.select("transaction_id", "user_id", "burst_count", "is_burst")
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripledger.settings import apply_session_conf
+
 PAYMENTS = """
 select concat('txn-', cast(event_id as varchar(20))) as transaction_id,
        concat('user_', cast(user_id as varchar(20))) as user_id,
@@ -118,7 +120,7 @@ def _view(spark: SparkSession, text: str, name: str, frame: DataFrame) -> DataFr
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    apply_session_conf(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -53,6 +53,8 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Joins whose shuffled partitions all turn out this small are hashed instead of sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -60,6 +62,12 @@ STREAM_CONF = {
 }
 
 
+def apply_session_conf(spark: SparkSession) -> None:
+    """The same settings on a session somebody else built; all of them may change at run time."""
+    for name, value in SESSION_CONF.items():
+        spark.conf.set(name, value)
+
+
 def build_session(app: str, settings: Settings | None = None, streaming: bool = False) -> SparkSession:
     settings = settings or Settings()
     conf = {**SESSION_CONF, **settings.object_store_conf(), **(STREAM_CONF if streaming else {})}
