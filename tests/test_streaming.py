@@ -13,7 +13,7 @@ from tripledger.plans import jobs
 from tripledger.settings import Settings
 from tripledger.sources import raw, tables
 from tripledger.sources.scratch import fresh_path
-from tripledger.streaming import bursts, landing, sinks, sources
+from tripledger.streaming import bursts, landing, ledger, sinks, sources
 from tripledger.streaming.rules import fraud_rules_stream, valid_messages
 
 START = datetime(2024, 1, 1)
@@ -61,6 +61,15 @@ def test_stream_equals_batch_across_restart(spark):
     assert bag(again) == bag(batch)
 
 
+def test_ledger_equals_batch_and_survives_repeats(spark):
+    out = fresh_path(spark, "ledger")
+    first, second = payments(0, 40), payments(40, 40)
+    for number, rows in ((0, first), (1, second), (1, second)):
+        ledger.advance(spark.createDataFrame(rows, SCHEMA), number, out)
+    batch = rules.fraud_rules(spark.createDataFrame(first + second, SCHEMA), skew=KeyProfile())
+    assert bag(ledger.read_judged(spark, out)) == bag(batch)
+
+
 def test_late_rows_see_a_later_history(spark):
     folder, out = fresh_path(spark, "in"), fresh_path(spark, "out")
     put(spark, [("new", "u", START + timedelta(hours=1), 250.0, "completed")], folder)

@@ -24,6 +24,7 @@ def fraud_rules(
     order_by: Sequence[str] = ("event_time", "transaction_id"),
     skew: KeyProfile | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
     """Every valid transaction with its user's running count and total and the rules it breaks.
 
@@ -31,7 +32,7 @@ def fraud_rules(
     (see `functions.messages.classify`): others never count.
     """
     counted = running_totals(
-        txns, order_by=order_by, skew=skew, rows_per_slice=rows_per_slice
+        txns, order_by=order_by, skew=skew, rows_per_slice=rows_per_slice, opening=opening
     )
     return alerts.apply_rules(counted, threshold)
 
@@ -42,6 +43,7 @@ def running_totals(
     order_by: Sequence[str] = ("event_time", "transaction_id"),
     skew: KeyProfile | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
     """Adds `txn_count` and `txn_total` (exact, as double).
 
@@ -49,16 +51,31 @@ def running_totals(
     rows; each slice is summed on its own and starts from the total of the slices before it.
     All other users take one window. Such users are looked for when the input is large;
     `skew` takes a profile made before (`KeyProfile()` for none).
+
+    `opening` has what earlier rows left behind, one row per user, as `balances` makes it.
     """
     if skew is None:
         skew = profile_keys({"txns": txns}, "user_id")["txns"]
     order = [*order_by, *[c for c in TIE_BREAKERS if c in txns.columns and c not in order_by]]
     if not skew.hot:
-        return _finish(_windowed(txns, ["user_id"], order))
+        return _finish(_windowed(txns, ["user_id"], order), opening)
     user = F.col("user_id")
     cold = _windowed(txns.filter(not_among(user, skew.hot)), ["user_id"], order)
     hot = _sliced(txns.filter(among(user, skew.hot)), order, skew.hot, rows_per_slice)
-    return _finish(cold.unionByName(hot))
+    return _finish(cold.unionByName(hot), opening)
+
+
+def balances(txns: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """Count `n` and exact `total` per user after `txns`, on top of `opening`."""
+    sums = txns.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(money.exact("amount")), F.lit(0)).cast("decimal(38,2)").alias("total"),
+    )
+    if opening is None:
+        return sums
+    return sums.unionByName(opening).groupBy("user_id").agg(
+        F.sum("n").alias("n"), F.sum("total").cast("decimal(38,2)").alias("total")
+    )
 
 
 def alert_payload(judged: DataFrame, threshold: float = fv.LARGE_AMOUNT) -> DataFrame:
@@ -119,5 +136,14 @@ def _sliced(df: DataFrame, order: list[str], rows_of: dict[str, int], rows_per_s
     )
 
 
-def _finish(df: DataFrame) -> DataFrame:
+def _finish(df: DataFrame, opening: DataFrame | None) -> DataFrame:
+    if opening is not None:
+        # One opening row per user; the rows are the left side, which may be split when skewed.
+        before = opening.select("user_id", F.col("n").alias("_n"), F.col("total").alias("_before"))
+        df = df.join(before, "user_id", "left").withColumns(
+            {
+                "txn_count": F.col("txn_count") + F.coalesce("_n", F.lit(0)),
+                "_total": (F.coalesce("_total", F.lit(0)) + F.coalesce("_before", F.lit(0))).cast("decimal(38,2)"),
+            }
+        ).drop("_n", "_before")
     return df.withColumn("txn_total", F.col("_total").cast("double")).drop("_total")

@@ -415,4 +415,5 @@ ORACLES = {
     "stream_fraud_rules": _rules(f"select {_RULE_COLUMNS}"),
     "stream_burst": _with("", "payments").rstrip() + _STREAM_BURST,
     "stream_restart": _rules(f"select {_RULE_COLUMNS}"),
+    "stream_fraud_ledger": _rules(f"select {_RULE_COLUMNS}"),
 }

@@ -18,7 +18,7 @@ from tripledger.plans import views
 from tripledger.schema import FIELDS
 from tripledger.sources import paths, raw, tables
 from tripledger.sources.scratch import fresh_path
-from tripledger.streaming import landing, sinks, sources
+from tripledger.streaming import landing, ledger, sinks, sources
 from tripledger.streaming.bursts import burst_stream
 from tripledger.streaming.rules import fraud_rules_stream
 
@@ -419,17 +419,35 @@ def stream_burst(spark, sf_dir):
     )
 
 
+def _in_two_steps(spark, sf_dir, run) -> None:
+    """Calls `run(stream)` after the first half of the payments has arrived, and again after
+    the second."""
+    source = views.payments(spark, sf_dir).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    half, folder = F.lit(str(START)).cast("timestamp"), fresh_path(spark, "two-steps")
+    for part in (source.filter(F.col("event_time") < half), source.filter(F.col("event_time") >= half)):
+        part.write.mode("append").parquet(folder)
+        run(sources.file_rows(spark, folder, source.schema))
+
+
 def stream_restart(spark, sf_dir):
     """The fraud rules stream stopped after the first half of the payments and restarted."""
-    source = views.payments(spark, sf_dir)
-    half = F.to_timestamp_ntz(F.lit(str(START)))
-    folder, out = fresh_path(spark, "restart-in"), fresh_path(spark, "restart-out")
-    for part in (source.filter(F.col("event_time") < half), source.filter(F.col("event_time") >= half)):
-        part.withColumn("event_time", F.col("event_time").cast("timestamp")).write.mode("append").parquet(folder)
-        judged = fraud_rules_stream(sources.file_rows(spark, folder, _payment_stream(spark, sf_dir).schema))
-        judged = judged.select(*RULES)
+    out = fresh_path(spark, "restart")
+
+    def run(stream):
+        judged = fraud_rules_stream(stream).select(*RULES)
         _run(sinks.to_parquet(judged, f"{out}/rows", f"{out}/checkpoint", trigger=sinks.AVAILABLE_NOW))
-    return spark.read.schema(judged.schema).parquet(f"{out}/rows")
+
+    _in_two_steps(spark, sf_dir, run)
+    return spark.read.parquet(f"{out}/rows")
+
+
+def stream_fraud_ledger(spark, sf_dir):
+    """The same in large micro-batches through the batch operator."""
+    out = fresh_path(spark, "ledger")
+    _in_two_steps(spark, sf_dir, lambda stream: _run(
+        ledger.fraud_rules_ledger(stream, f"{out}/ledger", f"{out}/checkpoint", trigger=sinks.AVAILABLE_NOW)
+    ))
+    return ledger.read_judged(spark, f"{out}/ledger").select(*RULES)
 
 
 QUERIES = {
@@ -447,5 +465,6 @@ QUERIES = {
         fraud_text_sample, fraud_alert_payload, burst_detect, burst_detect_hot_users,
         dedupe_latest, upsert_features, upsert_reconciled,
         stream_source, stream_union, land_topics, stream_fraud_rules, stream_burst, stream_restart,
+        stream_fraud_ledger,
     )
 }
