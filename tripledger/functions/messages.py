@@ -52,17 +52,20 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
         column = F.when(is_json, json[name])
         return column if group is None else column.when(is_text, F.regexp_extract(raw, text, group))
 
-    return shaped.withColumns(
-        {
-            "transaction_id": field("transaction_id"),
-            "user_id": field("user_id", 1),
-            "event_time": F.timestamp_millis(field("timestamp").try_cast("bigint")),
-            "amount_text": field("amount", 2),
-            "status": F.when(
-                is_json | is_text, F.coalesce(field("status"), F.lit(fv.STATUS_WHEN_ABSENT))
-            ),
-        }
-    ).drop("_json")
+    fields = {
+        "shape": F.col("shape"),
+        "transaction_id": field("transaction_id"),
+        "user_id": field("user_id", 1),
+        "event_time": F.timestamp_millis(field("timestamp").try_cast("bigint")),
+        "amount_text": field("amount", 2),
+        "status": F.when(
+            is_json | is_text, F.coalesce(field("status"), F.lit(fv.STATUS_WHEN_ABSENT))
+        ),
+    }
+    # As a generator of one row, so that filters on the fields stay above it: pushed below,
+    # each of them would parse the message again.
+    row = F.struct(*[column.alias(name) for name, column in fields.items()])
+    return shaped.select(*[c for c in messages.columns if c not in fields], F.inline(F.array(row)))
 
 
 def classify(parsed: DataFrame) -> DataFrame:

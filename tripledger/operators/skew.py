@@ -1,9 +1,10 @@
 """Finding the few keys that hold very many rows, before a plan is chosen.
 
-One pass reads only the key columns and keeps a frequent-items sketch per frame. Sketches
-merge in two levels, so no task sees more than a share of them. What comes back to the
-driver is bounded: at most `max_hot` keys per frame. Which keys are reported only decides
-how rows are spread; results are the same with any list, also with an empty one.
+One pass reads only the key columns and keeps a frequent-items sketch per frame, fed by a
+tenth of the rows. Sketches merge in two levels, so no task sees more than a share of them.
+What comes back to the driver is bounded: at most `max_hot` keys per frame. Which keys are
+reported only decides how rows are spread; every row is in the result, and results are the
+same with any list, also with an empty one.
 """
 
 from __future__ import annotations
@@ -16,10 +17,13 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
 SKIP_BELOW_BYTES = 1 << 30
+LOOK_AT = 0.1
 
 
 @dataclass(frozen=True)
 class KeyProfile:
+    """Estimated rows, rows without key, and rows of each hot key."""
+
     rows: int = 0
     null_keys: int = 0
     hot: dict[str, int] = field(default_factory=dict)
@@ -39,12 +43,14 @@ def profile_keys(
     tracked: int = 20_000,
     leaves: int = 64,
     skip_below_bytes: int = SKIP_BELOW_BYTES,
+    look_at: float = LOOK_AT,
 ) -> dict[str, KeyProfile]:
-    """Rows, rows without key and hot keys of every frame.
+    """Rows, rows without key and hot keys (at least `min_rows` rows) of every frame.
 
     Frames that together are smaller than `skip_below_bytes` are not read: no key of theirs
-    can be too large for a task. A sketch of `tracked` items misses no key with more than
-    about 3.5 / tracked of all rows.
+    can be too large for a task. The sketch looks at a share `look_at` of the rows, in which
+    a key with millions of rows cannot hide; of `tracked` items it keeps, it misses none
+    with more than about 3.5 / tracked of the rows.
     """
     empty = {name: KeyProfile() for name in frames}
     if sum(plan_bytes(df) for df in frames.values()) < skip_below_bytes:
@@ -52,7 +58,8 @@ def profile_keys(
     keys = reduce(
         DataFrame.unionByName,
         [
-            df.select(F.lit(name).alias("frame"), F.col(key).cast("string").alias("item"))
+            _looked_at(df.select(F.col(key).cast("string").alias("item")), look_at)
+            .select(F.lit(name).alias("frame"), "item")
             for name, df in frames.items()
         ],
     )
@@ -70,11 +77,16 @@ def profile_keys(
         F.sum("n_null").alias("n_null"),
     )
     for row in found.collect():
-        hot = {t["item"]: t["count"] for t in row["top"] if t["item"] is not None and t["count"] >= min_rows}
-        empty[row["frame"]] = KeyProfile(row["n"], row["n_null"], hot)
+        estimates = {t["item"]: round(t["count"] / look_at) for t in row["top"] if t["item"] is not None}
+        hot = {item: n for item, n in estimates.items() if n >= min_rows}
+        empty[row["frame"]] = KeyProfile(round(row["n"] / look_at), round(row["n_null"] / look_at), hot)
     return empty
 
 
+def _looked_at(keys: DataFrame, share: float) -> DataFrame:
+    return keys if share >= 1 else keys.sample(fraction=share, seed=7)
+
+
 def among(column: Column, values) -> Column:
     return column.isin(list(values))
 

@@ -164,7 +164,7 @@ def recon_duplicates(spark, sf_dir):
 def recon_hot_ids(spark, sf_dir):
     """The same with repeated ids treated as hot: salted, row by row."""
     frames = views.line_channels(spark, sf_dir)
-    profile = skew.profile_keys(frames, "transaction_id", min_rows=2, skip_below_bytes=0)
+    profile = skew.profile_keys(frames, "transaction_id", min_rows=2, skip_below_bytes=0, look_at=1)
     report = reconcile.reconcile(**frames, skew=profile, rows_per_salt=1)
     return _ntz(report).select(*REPORT)
 
@@ -257,7 +257,7 @@ def fraud_rules(spark, sf_dir):
 def fraud_rules_hot_users(spark, sf_dir):
     """The same with every user treated as hot: history summed in slices."""
     source = views.payments(spark, sf_dir)
-    profile = skew.profile_keys({"payments": source}, "user_id", min_rows=1, skip_below_bytes=0)
+    profile = skew.profile_keys({"payments": source}, "user_id", min_rows=1, skip_below_bytes=0, look_at=1)
     found = profile["payments"]
     judged = rules.fraud_rules(source, skew=found, rows_per_slice=found.rows // 16 + 1)
     return judged.select(*RULES)
@@ -294,7 +294,7 @@ def burst_detect(spark, sf_dir):
 def burst_detect_hot_users(spark, sf_dir):
     """The same with every user treated as hot."""
     source = views.payments(spark, sf_dir)
-    profile = skew.profile_keys({"payments": source}, "user_id", min_rows=1, skip_below_bytes=0)
+    profile = skew.profile_keys({"payments": source}, "user_id", min_rows=1, skip_below_bytes=0, look_at=1)
     found = burst.burst_detect(source, skew=profile["payments"], **BURST)
     return found.select("transaction_id", "user_id", "burst_count", "is_burst")
 
