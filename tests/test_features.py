@@ -125,3 +125,12 @@ def test_summary_of_nothing(spark):
     schema = SCHEMA.replace("timestamp long", "event_time timestamp")
     row = features.summarize(features.user_features(spark.createDataFrame([], schema))).collect()[0]
     assert row["user_count"] == 0 and row["high_risk_pct"] is None
+
+
+def test_approximate_counts_are_close(spark):
+    schema = SCHEMA.replace("timestamp long", "event_time timestamp")
+    df = spark.createDataFrame(random_rows(), schema)
+    near = {r["user_id"]: r for r in features.user_diversity(df, distinct="approx").collect()}
+    for r in features.user_diversity(df).collect():
+        for name in features.DIVERSITY:
+            assert abs(near[r["user_id"]][name] - r[name]) <= 0.15 * r[name]

@@ -14,7 +14,7 @@ from tripledger.settings import Settings
 from tripledger.sources import raw, tables
 from tripledger.sources.scratch import fresh_path
 from tripledger.streaming import bursts, landing, ledger, sinks, sources
-from tripledger.streaming.rules import fraud_rules_stream, valid_messages
+from tripledger.streaming.rules import fraud_rules_stream, valid_messages, verdict_lines
 
 START = datetime(2024, 1, 1)
 SCHEMA = "transaction_id string, user_id string, event_time timestamp, amount double, status string"
@@ -110,6 +110,23 @@ def test_invalid_messages_never_touch_state(spark, tmp_path):
     assert sorted((r["txn_count"], r["txn_total"]) for r in rows)[1] == (2, 310.0) and len(rows) == 2
 
 
+def test_verdict_lines_in_arrival_order(spark):
+    sent = [
+        ("Transaction: user1, amount=300.0", 0), ("Transaction: user1, amount=100.0", 1), ("noise", 2), ('{"user_id":"u"}', 3),
+    ]
+    folder = fresh_path(spark, "in")
+    rows = [(v, START + timedelta(seconds=k)) for v, k in sent]
+    spark.createDataFrame(rows, "value string, arrival timestamp").coalesce(1).write.parquet(folder)
+    stream = sources.file_rows(spark, folder, spark.read.parquet(folder).schema)
+    lines = {r[0] for r in run(verdict_lines(stream), fresh_path(spark, "out")).collect()}
+    assert lines == {
+        "FRAUD ALERT: user1 - 300.00 - Large transaction of 300.0 exceeds threshold of 200.0",
+        "FRAUD ALERT: user1 - 100.00 - Multiple transactions totaling 400.00 from user user1",
+        "Invalid transaction format: noise",
+        'Missing required fields in transaction: {"user_id":"u"}',
+    }
+
+
 def message(k, at):
     return json.dumps({"transaction_id": f"t{k}", "user_id": "u", "timestamp": int(at.replace(tzinfo=timezone.utc).timestamp() * 1000),
                        "amount": 5.0, "status": "completed", "source": "bank", "merchant": "m", "card_type": "visa"})

@@ -30,10 +30,29 @@ _OUT = T.StructType(
 _ORDER = ["event_time", "transaction_id", "source", "amount", "status"]
 
 
-def valid_messages(stream: DataFrame, value: str = "value") -> DataFrame:
-    """Parsed and validated transactions of a message stream; the rest never touches state."""
+def judged_messages(stream: DataFrame, value: str = "value") -> DataFrame:
+    """Parsed and classified messages. One without a time of its own takes its `arrival` time
+    where the source gives one."""
     judged = messages.classify(messages.parse_messages(stream, value))
-    return judged.filter(F.col("row_class") == messages.VALID)
+    if "arrival" in stream.columns:
+        judged = judged.withColumn("event_time", F.coalesce("event_time", "arrival"))
+    return judged
+
+
+def valid_messages(stream: DataFrame, value: str = "value") -> DataFrame:
+    """Valid transactions of a message stream; the rest never touches state."""
+    return judged_messages(stream, value).filter(F.col("row_class") == messages.VALID)
+
+
+def verdict_lines(
+    stream: DataFrame, *, threshold: float = fv.LARGE_AMOUNT, value: str = "value", **options
+) -> DataFrame:
+    """One text line per message of a stream: alert, normal, or why it was rejected."""
+    rejected = judged_messages(stream, value).filter(F.col("row_class") != messages.VALID)
+    good = fraud_rules_stream(valid_messages(stream, value), threshold=threshold, **options)
+    return good.select(alerts.alert_text(threshold).alias("value")).unionByName(
+        rejected.select(alerts.rejected_text(value).alias("value"))
+    )
 
 
 def fraud_rules_stream(
