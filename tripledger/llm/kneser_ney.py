@@ -26,8 +26,9 @@ from tripledger.sources.scratch import materialize
 
 ORDER = 5
 SHARD_ROWS = 2_000_000
-#: Share of each language's trusted texts that lies under its threshold.
-QUANTILE = 0.999
+#: A threshold lies `REACH` times as far above the median of trusted texts as this quantile.
+QUANTILE = 0.95
+REACH = 3.0
 #: Thresholds are read from counts of log-perplexity in bins of this width.
 BIN = 0.001
 #: Texts are counted and scored in groups of about this many bytes.
@@ -267,39 +268,50 @@ def perplexity(docs: DataFrame, model: DataFrame, text: str = "text", lang: str
     return rows.select("row", "lang", (-F.try_divide("log_p", F.col("n_scored"))).alias("log_ppl"))
 
 
+def _limits(held_out: DataFrame, quantile: float, reach: float) -> DataFrame:
+    """(`lang`, `limit`) from held-out trusted texts; "\\0all" stands for all languages."""
+    binned = materialize(
+        held_out.where("log_ppl IS NOT NULL").groupBy("lang", F.floor(F.col("log_ppl") / BIN).alias("bin"))
+        .agg(F.count("*").alias("n")), "bins")
+    both = binned.unionByName(binned.groupBy("bin").agg(F.sum("n").alias("n")).select(
+        F.lit("\0all").alias("lang"), "bin", "n"))
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("bin"))
+    whole = F.sum("n").over(Window.partitionBy("lang"))
+
+    def at(q: float) -> Column:  # upper edge of the bin that holds the quantile
+        return (F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("bin"))) + 1) * BIN
+
+    sums = both.withColumn("upto", upto).withColumn("all", whole)
+    ends = sums.groupBy("lang").agg(at(0.5).alias("middle"), at(quantile).alias("high"))
+    return materialize(ends.select("lang", (
+        F.col("middle") + reach * F.greatest(F.col("high") - F.col("middle"), F.lit(0.1))).alias("limit")), "limits")
+
+
 def judge(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-          quantile: float = QUANTILE) -> DataFrame:
+          quantile: float = QUANTILE, reach: float = REACH) -> DataFrame:
     """`row` (all columns but the text), `lang`, `log_ppl`, `limit` and `kept`.
 
-    `trusted` holds the keys of trusted documents (nulls and repeats are ignored). A document is
-    kept if its log-perplexity is at most its language's limit: the upper edge of the bin that
-    holds the given quantile of the language's trusted texts (of all trusted texts for languages
-    without). Empty and null texts have no perplexity and are not kept. Without any trusted text
-    nothing is judged and everything is kept. An empty input gives no row.
+    `trusted` holds the keys of trusted documents (nulls and repeats are ignored). The model is
+    trained on all their text. Its thresholds come from texts it has not seen: a model of one
+    half of the trusted documents (by key hash) scores the other half, and a language's limit is
+    the median of its log-perplexities plus `reach` times the way from there to the quantile (or
+    to 0.1 above the median). Languages without trusted text take the limit of all. A document
+    is kept if its log-perplexity is at most the limit. Empty and null texts have none and are
+    not kept. Without held-out text nothing is judged and everything is kept. An empty input
+    gives no row.
     """
     keys = trusted.select(F.col(key).alias("_trusted")).where("_trusted IS NOT NULL").distinct()
     keys = materialize(keys, "trusted")
-    marked = docs.join(keys, F.col(key) == F.col("_trusted"), "left_semi")
-    model = train(marked.where(F.length(text) > 0).select(
-        F.coalesce(F.col(lang), F.lit(POOLED)).alias("lang"), F.col(text).cast("string").alias("text")))
-    scored = materialize(perplexity(docs, model, text, lang), "perplexity")
-    of_trusted = scored.join(keys, F.col(f"row.`{key}`") == F.col("_trusted"), "left_semi")
-    binned = of_trusted.where("log_ppl IS NOT NULL").groupBy(
-        "lang", F.floor(F.col("log_ppl") / BIN).alias("bin")).agg(F.count("*").alias("n"))
-    binned = materialize(binned, "bins")
-    both = binned.unionByName(binned.groupBy("bin").agg(F.sum("n").alias("n")).select(
-        F.lit("\0all").alias("lang"), "bin", "n"))
-    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("bin"))
-    whole = F.sum("n").over(Window.partitionBy("lang"))
-    limits = (
-        both.withColumn("upto", upto).withColumn("all", whole).where(F.col("upto") >= quantile * F.col("all"))
-        .groupBy("lang").agg(((F.min("bin") + 1) * BIN).alias("limit"))
-    )
-    limits = materialize(limits, "limits")  # one row per language
-    fallback = limits.where(F.col("lang") == "\0all").select(F.col("limit").alias("rest")).first()
-    rest = F.lit(fallback["rest"] if fallback else None).cast("double")
-    limit = F.coalesce(F.col("limit"), rest)
+    marked = docs.join(keys, F.col(key) == F.col("_trusted"), "left_semi").where(F.length(text) > 0).select(
+        F.coalesce(F.col(lang), F.lit(POOLED)).alias("lang"), F.col(text).cast("string").alias("text"),
+        (F.pmod(F.xxhash64(key), F.lit(2)) == 0).alias("half"))
+    marked = materialize(marked, "trusted-text")
+    half = train(marked.where("half").select("lang", "text"))
+    held_out = perplexity(marked.where("NOT half").select("lang", "text"), half)
+    limits = _limits(held_out, quantile, reach)  # one row per language
+    scored = perplexity(docs, train(marked.select("lang", "text")), text, lang)
+    fallback = limits.where(F.col("lang") == "\0all").first()
+    limit = F.coalesce(F.col("limit"), F.lit(fallback["limit"] if fallback else None).cast("double"))
     fits = F.col("log_ppl").isNotNull() & (F.col("log_ppl") <= limit) if fallback else F.lit(True)
     return scored.join(F.broadcast(limits), "lang", "left").select(
-        "row", "lang", "log_ppl", limit.alias("limit"),
-        fits.alias("kept"))
+        "row", "lang", "log_ppl", limit.alias("limit"), fits.alias("kept"))

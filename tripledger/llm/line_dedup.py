@@ -18,8 +18,8 @@ from tripledger.sources.scratch import materialize
 MIN_LINES = 2
 
 
-def _chunks() -> Column:
-    """(first line, last line, hash) of each chunk of `lines` with hashes `hs`, `rolling`."""
+def _ends() -> Column:
+    """The last line of each chunk of `lines` with rolling hashes `rolling`."""
     n = F.size("lines")
 
     def ends_after(i: Column) -> Column:
@@ -28,9 +28,13 @@ def _chunks() -> Column:
 
     inner = F.when(n >= 4, F.filter(F.sequence(F.lit(1), n - 3), ends_after)).otherwise(
         F.array().cast("array<int>"))
-    ends = F.concat(inner, F.array(n - 1))
-    return F.transform(ends, lambda e, k: F.struct(
-        F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1) + 1).alias("first"), e.alias("last")))
+    return F.concat(inner, F.array(n - 1))
+
+
+def _spans() -> Column:
+    """(first line, last line) of each chunk from the column `ends`."""
+    return F.transform("ends", lambda e, k: F.struct(
+        F.when(k == 0, F.lit(0)).otherwise(F.get("ends", k - 1) + 1).alias("first"), e.alias("last")))
 
 
 def _with_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -43,7 +47,7 @@ def _occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
         "key", "body", "lines", F.transform("lines", lambda x: F.md5(x.cast("binary"))).alias("hs"))
     rolled = hashed.withColumn("rolling", F.transform(
         "hs", lambda h, i: F.when(i > 0, F.md5(F.concat(F.get("hs", i - 1), h).cast("binary")))))
-    cut = rolled.withColumn("chunk", F.explode(_chunks())).select(
+    cut = rolled.withColumn("ends", _ends()).withColumn("chunk", F.explode(_spans())).select(
         "key", "body", "chunk.first", "chunk.last",
         F.slice("lines", F.col("chunk.first") + 1, F.col("chunk.last") - F.col("chunk.first") + 1).alias("of"),
         F.slice("hs", F.col("chunk.first") + 1, F.col("chunk.last") - F.col("chunk.first") + 1).alias("hs"))

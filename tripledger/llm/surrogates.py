@@ -150,12 +150,16 @@ def _surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column
         1 + _draw(key, F.concat(of, F.lit("\0"), i.cast("string")), 254)).cast("string"))
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     host = F.regexp_replace(domain, r"\.[^.]+$", "")
-    # A domain has one surrogate for all its addresses; the last label stays.
-    email = F.concat(_alike(key, of, local), F.lit("@"), _alike(key, F.concat(F.lit("host"), host), host),
-                     F.regexp_extract(domain, r"(\.[^.]+)$", 1))
+    # A domain has one surrogate for all its addresses, under the reserved label `example`.
+    label = F.substring_index(host, ".", 1)
+    email = F.concat(_alike(key, of, local), F.lit("@"), _alike(key, F.concat(F.lit("host"), host), label),
+                     F.lit(".example"), F.regexp_extract(domain, r"(\.[^.]+)$", 1))
+    # Ten digits are drawn; what stands before them, a country code, stays.
+    code = F.greatest(n - 10, F.lit(0))
+    phone = F.concat(F.substring(canon, F.lit(1), code), F.substring(plain, code + 1, n))
     return (
         F.when(kind == "email", email).when(kind == "ip", F.array_join(octets, "."))
-        .when(kind == "card", card).when(kind == "name", _name(key, canon, attempt))
+        .when(kind == "card", card).when(kind == "phone", phone).when(kind == "name", _name(key, canon, attempt))
         .when(kind == "secret", F.when(canon.rlike("^[0-9a-f]+$"), _alike(key, of, canon, hexed=True)).otherwise(
             F.concat(F.regexp_extract(canon, "^(AKIA|[a-z]+[-_]|)", 1),
                      _alike(key, of, F.regexp_replace(canon, "^(AKIA|[a-z]+[-_])", "")))))
