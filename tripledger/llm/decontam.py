@@ -43,13 +43,16 @@ def _around(i: Column) -> Column:
     return F.transform(F.sequence(i - BEFORE, i + AFTER), lambda j: F.get("toks", j))
 
 
+# Filters on computed arrays, and explode() which implies one, are avoided below: Spark would move
+# them under the projections and compute the arrays anew for every element of a lambda.
 def _tokenized(df: DataFrame, text: str, **more: Column) -> DataFrame:
     toks = df.select(*[c.alias(n) for n, c in more.items()], tokens(F.col(text).cast("string")).alias("toks"))
-    return toks.where(F.size("toks") >= SPAN).withColumn("hs", F.transform("toks", lambda w: F.xxhash64(w)))
+    return toks.withColumn("hs", F.transform("toks", lambda w: F.xxhash64(w)))
 
 
 def _starts() -> Column:
-    return F.sequence(F.lit(0), F.size("hs") - SPAN)
+    """Places where a mask fits; null where none does."""
+    return F.when(F.size("hs") >= SPAN, F.sequence(F.lit(0), F.size("hs") - SPAN))
 
 
 def test_hashes(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -57,8 +60,8 @@ def test_hashes(benchmark: DataFrame, item: str = "item_id", text: str = "text")
     seeds = F.flatten(F.transform(_starts(), lambda i: F.array(*[
         F.struct(_masked(i, m).alias("hash"), i.alias("i")) for m in range(len(MASKS))])))
     rows = _tokenized(benchmark, text, item=F.col(item)).select(
-        "item", "toks", "hs", F.explode(seeds).alias("s"))
-    return rows.select(
+        "item", "toks", "hs", F.explode_outer(seeds).alias("s"))
+    return rows.where("s IS NOT NULL").select(
         "item", F.col("s.hash").alias("hash"), _around(F.col("s.i")).alias("around"),
         F.xxhash64(F.get("hs", F.col("s.i")), F.get("hs", F.col("s.i") + 1)).alias("pair"),
         F.least(F.size("toks"), F.lit(WINDOW)).alias("width"),
@@ -79,13 +82,13 @@ def _hits(docs: DataFrame, tests: DataFrame, key: str, text: str) -> DataFrame:
     at = _starts()
     if few:
         pair = f"xxhash64(hs[i], hs[i + 1]) IN ({_listed(tests, 'pair')})"
-        at = F.expr(f"filter(sequence(0, size(hs) - {SPAN}), i -> {pair})")
+        at = F.expr(f"CASE WHEN size(hs) >= {SPAN} THEN filter(sequence(0, size(hs) - {SPAN}), i -> {pair}) END")
     seeds = F.flatten(F.transform("at", lambda i: F.array(*[
         F.struct(_masked(i, m).alias("hash"), i.alias("i")) for m in range(len(MASKS))])))
-    rows = rows.withColumn("at", at).where(F.size("at") > 0).withColumn("seeds", seeds)
+    rows = rows.withColumn("at", at).withColumn("seeds", seeds)
     if few:
         rows = rows.withColumn("seeds", F.expr(f"filter(seeds, s -> s.hash IN ({_listed(tests, 'hash')}))"))
-    return rows.select("key", "body", "toks", F.explode("seeds").alias("s")).select(
+    return rows.select("key", "body", "toks", F.explode_outer("seeds").alias("s")).where("s IS NOT NULL").select(
         "key", "body", F.col("s.hash").alias("hash"), _around(F.col("s.i")).alias("found"))
 
 

@@ -43,16 +43,19 @@ def _with_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    hashed = _with_lines(docs, key, text).where(F.size("lines") > 1).select(
+    hashed = _with_lines(docs, key, text).select(
         "key", "body", "lines", F.transform("lines", lambda x: F.md5(x.cast("binary"))).alias("hs"))
     rolled = hashed.withColumn("rolling", F.transform(
         "hs", lambda h, i: F.when(i > 0, F.md5(F.concat(F.get("hs", i - 1), h).cast("binary")))))
-    cut = rolled.withColumn("ends", _ends()).withColumn("chunk", F.explode(_spans())).select(
+    # explode() would imply a filter that Spark moves under the projections, where it computes
+    # the hashes anew for every element.
+    cut = rolled.withColumn("ends", _ends()).withColumn("chunk", F.explode_outer(_spans())).select(
         "key", "body", "chunk.first", "chunk.last",
         F.slice("lines", F.col("chunk.first") + 1, F.col("chunk.last") - F.col("chunk.first") + 1).alias("of"),
         F.slice("hs", F.col("chunk.first") + 1, F.col("chunk.last") - F.col("chunk.first") + 1).alias("hs"))
+    many = F.col("last") > F.col("first")
     worded = F.size(F.filter("of", lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
-    return cut.where(worded >= MIN_LINES).select(
+    return cut.where(many & (worded >= MIN_LINES)).select(
         "key", "body", "first", "last", F.md5(F.array_join("hs", "").cast("binary")).alias("hash"))
 
 

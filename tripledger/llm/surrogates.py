@@ -217,7 +217,7 @@ def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: st
     whole = packed(docs, key=F.col(key), body=F.md5(F.coalesce(body, F.lit("")).cast("binary")),
                    text=body, found=entities_of(F.coalesce(body, F.lit(""))))
     mentions = materialize(
-        whole.where(F.size("found") > 0).select("key", "body", F.explode(F.array_distinct("found")).alias("entity"))
+        whole.select("key", "body", F.explode_outer(F.array_distinct("found")).alias("entity")).where("entity IS NOT NULL")
         .withColumn("kind", _kind(F.col("entity"))).withColumn("canon", _canonical(F.col("kind"), F.col("entity"))),
         "mentions")
     table = assign(mentions.select("kind", "canon").distinct(), secret)
