@@ -37,13 +37,17 @@ def _spans() -> Column:
         F.when(k == 0, F.lit(0)).otherwise(F.get("ends", k - 1) + 1).alias("first"), e.alias("last")))
 
 
-def _with_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return packed(docs, key=F.col(key), body=F.md5(body.cast("binary")), lines=F.split(body, "\n"))
+def _whole(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return packed(docs, key=F.col(key), body=F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
+
+
+def _lines(text: str) -> Column:
+    """The lines of `row`'s text."""
+    return F.split(F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit("")), "\n")
 
 
 def _occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    hashed = _with_lines(docs, key, text).select(
+    hashed = _whole(docs, key, text).withColumn("lines", _lines(text)).select(
         "key", "body", "lines", F.transform("lines", lambda x: F.md5(x.cast("binary"))).alias("hs"))
     rolled = hashed.withColumn("rolling", F.transform(
         "hs", lambda h, i: F.when(i > 0, F.md5(F.concat(F.get("hs", i - 1), h).cast("binary")))))
@@ -73,10 +77,13 @@ def _to_remove(docs: DataFrame, key: str, text: str) -> DataFrame:
     found = materialize(seen.join(again, "hash"), "repeated")
     wanted = materialize(
         found.groupBy("key", "body").agg(F.collect_set(F.struct("first", "last", "hash")).alias("chunks")), "wanted")
-    whole = _with_lines(docs, key, text)
+    # The texts are shuffled as they are and cut into lines afterwards. The hint keeps the plan,
+    # and so its cost per byte, the same however few chunks repeat.
+    whole = _whole(docs, key, text)
     texts = (
-        whole.join(wanted, _same_document(whole, wanted))
-        .select(whole["key"], whole["body"], "lines", F.explode("chunks").alias("c"))
+        whole.join(wanted.hint("merge"), _same_document(whole, wanted))
+        .select(whole["key"], whole["body"], "row", "chunks").withColumn("lines", _lines(text))
+        .select("key", "body", "lines", F.explode("chunks").alias("c"))
         .select("key", "body", "c.first", "c.last", "c.hash", F.array_join(
             F.slice("lines", F.col("c.first") + 1, F.col("c.last") - F.col("c.first") + 1), "\n").alias("of"))
     )
@@ -106,10 +113,11 @@ def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "te
     document and lose the same chunks. An empty input gives no row.
     """
     spans = _to_remove(docs, key, text)
-    whole = _with_lines(docs, key, text)
+    whole = _whole(docs, key, text)
     lost = F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"])))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), lost)
     cleaned = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
-    return whole.join(spans, _same_document(whole, spans), "left").select(
+    joined = whole.join(spans.hint("merge"), _same_document(whole, spans), "left")
+    return joined.select("row", "spans").withColumn("lines", _lines(text)).select(
         "row", F.when(F.col("spans").isNull(), F.col(f"row.`{text}`")).otherwise(cleaned).alias("text"),
         F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)).alias("spans"))
