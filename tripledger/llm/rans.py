@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from tripledger.llm.tokens import word_memory
 from tripledger.sources.scratch import fresh_path
 
-LANES = 512
-STEPS = 128
+LANES = 1024
+STEPS = 64
 #: Frequencies add up to 2 ** BITS, or to more when the vocabulary needs it.
 BITS = 18
 #: A block is closed by the document that brings it to this many ids.
@@ -122,26 +122,35 @@ def _tokenized(vocabulary: str, end_id: int):
         part, start = TaskContext.get().partitionId(), 0
         memory = word_memory(vocabulary)
         end = np.array([end_id], memory.dtype).tobytes()
+        tally = np.zeros(0, np.int64)
+        names = ["part", "at", "key", "n_tokens", "ids", "tally"]
         for batch in batches:
-            ids = [memory.encode(t) + end if t else end for t in batch.column("text").to_pylist()]
+            ids = [x + end for x in memory.encode([t or "" for t in batch.column("text").to_pylist()])]
             lengths = np.array([len(x) // memory.dtype.itemsize for x in ids], np.int64)
             starts = start + np.cumsum(lengths) - lengths
             start += int(lengths.sum())
+            got = np.bincount(np.frombuffer(b"".join(ids), memory.dtype), minlength=len(tally))
+            got[: len(tally)] += tally
+            tally = got
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), part, np.int32)), pa.array(starts),
-                 batch.column("key"), pa.array(lengths), pa.array(ids, pa.binary())],
-                names=["part", "at", "key", "n_tokens", "ids"])
+                [pa.array(np.full(len(ids), part, np.int32)), pa.array(starts), batch.column("key"),
+                 pa.array(lengths), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=names)
+        # A last row, without a document, has the counts of the whole task.
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-1], pa.int32()), *[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.binary()),
+             pa.array([tally.tobytes()], pa.binary())], names=names)
 
     return run
 
 
-def _counted(batches: Iterator[pa.RecordBatch], dtype: np.dtype) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype)
-        got = np.bincount(ids, minlength=len(total))
-        got[: len(total)] += total
-        total = got
+        for tally in batch.column("tally").to_pylist():
+            one = np.frombuffer(tally, np.int64)
+            if len(one) > len(total):
+                one, total = total, one.copy()
+            total[: len(one)] += one
     ids = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
@@ -190,22 +199,22 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2,
     """
     spark = docs.sparkSession
     scratch = fresh_path(spark, "tokens")
+    schema = "part int, at long, key long, n_tokens long, ids binary, tally binary"
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"),
                        F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("n"))
     (
         rows.repartitionByRange("key", "tie", "n").sortWithinPartitions("key", "tie", "n")
         .select("key", "text")
-        .mapInArrow(_tokenized(vocabulary, end_id),
-                    "part int, at long, key long, n_tokens long, ids binary")
-        .write.option("compression", "zstd").parquet(scratch)
+        .mapInArrow(_tokenized(vocabulary, end_id), schema).write.parquet(scratch)
     )
     dtype = word_memory(vocabulary).dtype
-    done = spark.read.schema("part int, at long, key long, n_tokens long, ids binary").parquet(scratch)
+    written = spark.read.schema(schema).parquet(scratch)
+    done = written.where("part >= 0").drop("tally")
     totals = done.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()  # one row per partition
     totals = sorted((r["part"], r["n"]) for r in totals)
     offsets = dict(zip([p for p, _ in totals], [0, *accumulate(n for _, n in totals)]))
     counts = (  # one row per id of the vocabulary
-        done.select("ids").mapInArrow(lambda b: _counted(b, dtype), "id long, n long")
+        written.select("tally").where("tally IS NOT NULL").mapInArrow(_counted, "id long, n long")
         .groupBy("id").agg(F.sum("n").alias("n")).collect()
     )
     model = Frequencies([r["id"] for r in counts], [r["n"] for r in counts])

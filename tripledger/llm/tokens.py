@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
 #: Words remembered per worker; later words are encoded anew each time.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
+#: Characters of text whose new words are encoded together.
+GROUP = 4_000_000
 
-_ODD_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]$")
+#: White space besides single spaces and line feeds between words, and the byte used for cutting.
+_ODD = ("  ", "\n\n", " \n", "\n ", *"\0\t\v\f\r\x1c\x1d\x1e\x1f")
+_WIDE = (*"\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B)))
+
+
+def _odd(text: str) -> bool:
+    if not text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in _ODD):
+        return True
+    return not text.isascii() and any(x in text for x in _WIDE)
 
 
 class WordMemory:
@@ -27,36 +37,60 @@ class WordMemory:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        self.known: dict[str, bytes] = {"\n": np.array([self.line_feed], self.dtype).tobytes()}
 
     def plain(self, texts: list[str]) -> list[bytes]:
         batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in batch]
 
-    def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return self.plain([text])[0]
-        pieces = text.replace("\n", " \n ").replace(" ", "\0 ").split("\0")
-        # "a\nb" became "a", " \n", " b": the line feed and the word after it lose the space.
-        if "\n" in text:
-            fixed, after = [], False
-            for p in pieces:
-                if after:
-                    p, after = p[1:], False
-                elif p == " \n":
-                    p, after = "\n", True
-                fixed.append(p)
-            pieces = fixed
-        known = self.known
-        new = {p for p in pieces if p not in known}
-        if not new:
-            return b"".join([known[p] for p in pieces])
-        new = list(new)
-        fresh = dict(zip(new, self.plain(new)))
-        if len(known) < REMEMBERED:
-            known.update(fresh)
-            return b"".join([known[p] for p in pieces])
-        return b"".join([known[p] if p in known else fresh[p] for p in pieces])
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces without line feeds: encoded as the lines of one text, cut at line feeds."""
+        ids = np.array(self.tokenizer.encode_batch_fast(
+            ["\n".join(pieces)], add_special_tokens=False)[0].ids, self.dtype)
+        cuts = np.flatnonzero(ids == self.line_feed)
+        if len(cuts) != len(pieces) - 1:
+            raise ValueError("the vocabulary joins line feeds with other text")
+        size, raw = self.dtype.itemsize, ids.tobytes()
+        starts = [0, *((cuts + 1) * size).tolist()]
+        ends = [*(cuts * size).tolist(), len(raw)]
+        return {p: raw[i:j] for p, i, j in zip(pieces, starts, ends)}
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts; words that are new to this worker are encoded together."""
+        known, parts, new = self.known, [], set()
+        for text in texts:
+            if _odd(text):
+                parts.append(None)
+                continue
+            lines = text.split("\n")
+            pieces = lines[0].replace(" ", "\0 ").split("\0")
+            for line in lines[1:]:
+                pieces.append("\n")
+                pieces += line.replace(" ", "\0 ").split("\0")
+            parts.append(pieces)
+            new.update(pieces)
+        new = [p for p in new if p not in known]
+        fresh = self._learn(new) if new else {}
+        room = len(known) < REMEMBERED
+        known.update(fresh)
+        of = known.__getitem__
+        out = [self.plain([t])[0] if p is None else b"".join(map(of, p)) for t, p in zip(texts, parts)]
+        if not room:
+            for p in new:
+                del known[p]
+        return out
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of whole texts, in groups of about `GROUP` characters."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP:
+                yield from self.encode_all(group)
+                group, size = [], 0
+        yield from self.encode_all(group)
 
 
 @lru_cache(maxsize=1)
