@@ -69,8 +69,9 @@ def test_hashes(benchmark: DataFrame, item: str = "item_id", text: str = "text")
 
 
 def _listed(tests: DataFrame, column: str) -> str:
-    return ", ".join(f"{r[0]}L" if r[0] != -(1 << 63) else "(-9223372036854775807L - 1L)"
-                     for r in tests.select(column).distinct().collect())
+    values = ", ".join(f"{r[0]}L" if r[0] != -(1 << 63) else "(-9223372036854775807L - 1L)"
+                         for r in tests.select(column).distinct().collect())
+    return values or "NULL"
 
 
 def _hits(docs: DataFrame, tests: DataFrame, key: str, text: str) -> DataFrame:

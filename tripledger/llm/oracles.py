@@ -1,17 +1,5 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-OP5 = """
-WITH sized AS (
-  SELECT doc_id, text, coalesce(strlen(text), 0) + 8 AS size FROM documents
-), run AS (
-  SELECT *, sum(size) OVER (ORDER BY doc_id, text) - size AS before, sum(size) OVER () AS total FROM sized
-), placed AS (
-  SELECT *, CAST((2 * before + size) * 24 // (2 * total) AS INTEGER) AS shard FROM run
-)
-SELECT doc_id, CAST(size AS BIGINT) AS size, 'bytes' AS law, shard,
-       CAST(row_number() OVER (PARTITION BY shard ORDER BY doc_id, text) - 1 AS BIGINT) AS slot
-FROM placed
-"""
 
 OP1 = r"""
 WITH lines AS (
