@@ -66,7 +66,7 @@ class Chain:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Probability of each category (columns) for each text."""
         n = len(self.words)
-        sums = np.array([w[:n] for w in self.weights]).T.reshape(n, -1)
+        sums = np.array([w[:n] for w in self.weights]).T.reshape(n, len(self.weights))
         known = self.place.keys()
         out = np.empty((len(texts), len(self.weights)))
         for i, t in enumerate(texts):
