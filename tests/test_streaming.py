@@ -178,3 +178,24 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert (summary["user_count"], summary["high_risk_count"]) == (1, 0)
     features = tables.read_table(spark, str(tmp_path / "features" / "user_features")).collect()
     assert features[0]["max_txn_count_daily"] == 18
+
+
+def test_landed_messages_reach_the_jobs(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    from tripledger import fixed_values as fv
+    from tripledger.plans import jobs
+    from tripledger.settings import Settings
+    from tripledger.streaming import landing
+
+    root = str(tmp_path / "raw")
+    rows = [(t, '{"transaction_id":"x","user_id":"u","amount":5.0,"timestamp":1700000000000,"status":"SUCCESS"}')
+            for t in fv.TOPICS.values()]
+    rows.append((next(iter(fv.TOPICS.values())), '{"user_id":"u","amount":5,"timestamp":9223372036854775807}'))
+    landing.write_batch(spark.createDataFrame(rows, "topic string, value string"), 0, root)
+    settings = Settings(raw_root=root, features_root=str(tmp_path / "f"), reconciled_root=str(tmp_path / "r"))
+    days = {"start": datetime(2023, 11, 1, tzinfo=timezone.utc), "end": datetime(2023, 12, 1, tzinfo=timezone.utc)}
+    jobs.reconcile_job(spark, settings, **days)
+    assert spark.read.parquet(f"{root.replace('raw', 'r')}/reconciled_transactions").count() == 1
+    assert jobs.feature_job(spark, settings, **days).count() >= 1
+    assert spark.read.text(f"{root}/zone=quarantine").count() == 1

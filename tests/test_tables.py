@@ -146,3 +146,12 @@ def test_settings_and_kafka_options():
     }
     with pytest.raises(ValueError):
         kafka.source_options("h:1", ["a"], starting="middle")
+
+
+def test_partitioned_upsert_keeps_stored_columns(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    stored = spark.createDataFrame([(1, "a", "old", 1, "d1"), (2, "b", "kept", 1, "d1")], "id int, v string, note string, t int, day string")
+    tables.upsert_table(stored, path, ["id"], "t", "day")
+    tables.upsert_table(spark.createDataFrame([(1, "z", 2, "d2")], "id int, v string, t int, day string"), path, ["id"], "t", "day")
+    got = {(r["id"], r["v"], r["note"], r["day"]) for r in spark.read.parquet(path).collect()}
+    assert got == {(1, "z", "old", "d2"), (2, "b", "kept", "d1")}

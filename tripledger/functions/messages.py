@@ -23,6 +23,16 @@ ERROR, INVALID, MISSING_FIELDS, VALID = "error", "invalid", "missing", "valid"
 ALERT, NORMAL = "alert", "normal"
 
 
+# From year 1 to year 9999; beyond it a long may not be a timestamp at all.
+_FIRST_MS, _LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def event_time(millis: Column | str) -> Column:
+    """Time of epoch milliseconds; NULL outside the years 1 to 9999."""
+    millis = F.col(millis) if isinstance(millis, str) else millis
+    return F.when(millis.between(_FIRST_MS, _LAST_MS), F.timestamp_millis(millis))
+
+
 def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Adds the parsed fields and `shape`: 'json', 'text', 'error' or 'invalid'.
 
@@ -56,7 +66,7 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
         "shape": F.col("shape"),
         "transaction_id": field("transaction_id"),
         "user_id": field("user_id", 1),
-        "event_time": F.timestamp_millis(field("timestamp").try_cast("bigint")),
+        "event_time": event_time(field("timestamp").try_cast("bigint")),
         "amount_text": field("amount", 2),
         "status": F.when(
             is_json | is_text, F.coalesce(field("status"), F.lit(fv.STATUS_WHEN_ABSENT))

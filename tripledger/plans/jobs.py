@@ -14,12 +14,18 @@ from tripledger.operators import features as user
 from tripledger.operators import reconcile as recon
 from tripledger.operators import rules
 from tripledger.settings import Settings
-from tripledger.sources import kafka, raw, tables
+from tripledger.sources import kafka, paths, raw, tables
 from tripledger.sources.scratch import materialize
 from tripledger.streaming import landing
 from tripledger.streaming.rules import fraud_rules_stream, valid_messages
 
 
+def _topic_root(spark: SparkSession, settings: Settings, topic: str) -> str:
+    """Where `landing_job` puts a topic, or the plain folder of a topic that others have put there."""
+    landed = landing.topic_path(settings.raw_root, topic)
+    return landed if paths.exists(spark, landed) else f"{settings.raw_root}/{topic}"
+
+
 def reconcile_job(
     spark: SparkSession,
     settings: Settings | None = None,
@@ -36,7 +42,7 @@ def reconcile_job(
     settings = settings or Settings()
     lo, hi = raw.resolve_range(start, end, lookback)
     frames = {
-        c: raw.load_topic(spark, f"{settings.raw_root}/{t}", lo, hi, on_missing=on_missing)
+        c: raw.load_topic(spark, _topic_root(spark, settings, t), lo, hi, on_missing=on_missing)
         for c, t in topics.items()
     }
     as_of = datetime.now(timezone.utc)
@@ -64,7 +70,7 @@ def feature_job(
     settings = settings or Settings()
     lo, hi = raw.resolve_range(start, end, lookback)
     txns = raw.load_topics(
-        spark, [f"{settings.raw_root}/{t}" for t in topics], lo, hi, on_missing=on_missing
+        spark, [_topic_root(spark, settings, t) for t in topics], lo, hi, on_missing=on_missing
     )
     as_of = datetime.now(timezone.utc)
     features = user.user_features(txns, as_of=as_of, **options)
@@ -101,7 +107,7 @@ def fraud_job(
     *,
     topics: Sequence[str] = tuple(fv.TOPICS.values()),
     starting: str = "earliest",
-    max_per_trigger: int = 1_000_000,
+    max_per_trigger: int | None = None,
     forget_after: str | None = None,
 ):
     """Fraud rules over Kafka topics, alerts to the alert topic; returns the running query."""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.schema import FIELDS, LOADED, TRANSACTION
+from tripledger.functions import messages
 from tripledger.sources import paths
 
 
@@ -41,7 +42,7 @@ def empty_transactions(spark: SparkSession) -> DataFrame:
 
 
 def with_event_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_time", F.timestamp_millis("timestamp"))
+    return df.withColumn("event_time", messages.event_time("timestamp"))
 
 
 def load_topic(

@@ -66,7 +66,15 @@ def _write_partitions(incoming, path, keys, order_by, partition_by) -> None:
         _overwrite_partitions(fresh, path, partition_by)
         return
     fresh = materialize(fresh, "upsert-incoming")
-    current = spark.read.schema(fresh.schema).parquet(path)
+    # Columns that only the table has keep what they hold; a type conflict is an error of the union.
+    current = spark.read.option("mergeSchema", "true").parquet(path)
+    current = current.withColumn(partition_by, F.col(partition_by).cast(fresh.schema[partition_by].dataType))
+    stored = [c for c in current.columns if c not in fresh.columns]
+    if stored:
+        old = current.select(*keys, *stored).alias("t")
+        fresh = materialize(
+            fresh.alias("f").join(old, same_key("t", "f", keys), "left").select("f.*", *[f"t.{c}" for c in stored]),
+            "upsert-incoming")
     # A key may have moved: its old partition is touched as well as its new one.
     moved = current.alias("t").join(
         fresh.select(*keys).alias("f"), same_key("t", "f", keys), "left_semi"
@@ -75,7 +83,7 @@ def _write_partitions(incoming, path, keys, order_by, partition_by) -> None:
     kept = current.filter(_one_of(partition_by, touched)).alias("t").join(
         fresh.select(*keys).alias("f"), same_key("t", "f", keys), "left_anti"
     )
-    merged = materialize(kept.unionByName(fresh), "upsert-merged")
+    merged = materialize(kept.unionByName(fresh, allowMissingColumns=True), "upsert-merged")
     filled = _values(merged.select(partition_by), partition_by)
     _overwrite_partitions(merged, path, partition_by)
     for value in touched - filled:

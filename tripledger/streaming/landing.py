@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripledger import fixed_values as fv
+from tripledger.functions.messages import event_time
 
 LANDED, QUARANTINE = "landed", "quarantine"
 _LAYOUT = ("zone", "topic", "event_date", "batch")
@@ -15,7 +16,7 @@ def land_topics(messages: DataFrame, root: str, checkpoint: str, *, trigger: dic
     """Starts the landing query and returns it.
 
     Messages keep their text. They go to `zone=landed/topic=…/event_date=…/batch=…`;
-    messages that are no JSON object go to `zone=quarantine`. A repeated batch rewrites its
+    messages that are no JSON object, or whose time is beyond the year 9999, go to `zone=quarantine`. A repeated batch rewrites its
     own folders only, so every message lands exactly once.
     """
     trigger = trigger or {"processingTime": fv.STREAM_TRIGGER}
@@ -35,10 +36,13 @@ def write_batch(batch: DataFrame, number: int, root: str) -> None:
     )
     parsed = batch.withColumn("_json", fields)
     is_object = F.col("_json").isNotNull() & F.col("_json.malformed").isNull()
+    time = event_time("_json.timestamp")
+    # A time that is no time would start a folder of its own, or stop the stream.
+    is_object &= time.isNotNull() | F.col("_json.timestamp").isNull()
     placed = parsed.select(
         F.when(is_object, LANDED).otherwise(QUARANTINE).alias("zone"),
         "topic",
-        F.to_date(F.timestamp_millis("_json.timestamp")).alias("event_date"),
+        F.to_date(time).alias("event_date"),
         F.lit(number).alias("batch"),
         "value",
     )

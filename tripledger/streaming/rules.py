@@ -84,7 +84,7 @@ def fraud_rules_stream(
     if once_per_id:
         txns = txns.dropDuplicatesWithinWatermark(["transaction_id"])
     keyed = txns.select(
-        "user_id", *_CARRIED, (money.exact("amount") * 100).cast("long").alias("cents")
+        "user_id", *_CARRIED, F.coalesce((money.exact("amount") * 100).cast("long"), F.lit(0)).alias("cents")
     )
 
     def advance(
