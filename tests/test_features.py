@@ -134,3 +134,15 @@ def test_approximate_counts_are_close(spark):
     for r in features.user_diversity(df).collect():
         for name in features.DIVERSITY:
             assert abs(near[r["user_id"]][name] - r[name]) <= 0.15 * r[name]
+
+
+def test_amounts_of_any_size(spark):
+    amounts = {"fine": [0.004, 0.004], "spread": [0.00001, 0.00003], "large": [1e17, 3e17], "vast": [1e300, None], "none": [None]}
+    rows = [(f"t{u}{k}", u, datetime(2024, 1, 1), a, "completed", None, None, None, None) for u, s in amounts.items() for k, a in enumerate(s)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("timestamp long", "event_time timestamp"))
+    got = {r["user_id"]: r for r in features.user_features(df).collect()}
+    assert got["fine"]["avg_txn_amount"] == 0.004 and got["fine"]["max_txn_amount_hourly"] == 0.008
+    assert math.isclose(got["spread"]["stddev_txn_amount"], statistics.stdev([0.00001, 0.00003]))
+    assert math.isclose(got["large"]["stddev_txn_amount"], statistics.stdev([1e17, 3e17]))
+    assert got["large"]["max_txn_amount_daily"] == 4e17 and got["vast"]["avg_txn_amount"] == 1e300
+    assert got["none"]["avg_txn_amount"] is None and got["none"]["max_txn_amount_weekly"] is None

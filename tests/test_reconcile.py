@@ -162,3 +162,43 @@ def test_bad_arguments(spark):
         recon.reconcile(**frames, key_mode="other")
     with pytest.raises(ValueError):
         recon.reconcile(**frames, dedupe="first")
+
+
+STALE = [
+    {},
+    {"bank": KeyProfile(9, 0, {"orphan": 50})},  # listed for a channel that does not have it
+    {"gateway": KeyProfile(9, 50, {"hot": 1, "gone": 10**7, "t2": 3})},
+    {"bank": KeyProfile(9, 9, {"hot": 60}), "gateway": KeyProfile(9, 9, {"hot": 2, "orphan": 7}), "processor": KeyProfile(9, 9, {"t3": 1})},
+]
+
+
+@pytest.mark.parametrize("key_mode", ["coalesced", "bank"])
+@pytest.mark.parametrize("profile", STALE)
+def test_any_profile_gives_the_same_rows(spark, key_mode, profile):
+    frames = skewed_frames(spark)
+    report = recon.reconcile(**frames, key_mode=key_mode, skew=profile, rows_per_salt=4)
+    assert as_combos(report) == brute_force(frames, key_mode)
+
+
+def test_id_that_is_hot_in_two_channels(spark):
+    rows = [("hot", float(k), "completed") for k in range(40)]
+    frames = {c: side(spark, rows[: 40 if c != "processor" else 3]) for c in CHANNELS}
+    sides = {c: recon._prefixed(df, c) for c, df in frames.items()}
+    counts = {"hot": {"bank": 40, "gateway": 40, "processor": 3}}
+    out = recon._product(sides, counts, 10)
+    assert out.count() == out.distinct().count() == 40 * 40 * 3
+
+
+@pytest.mark.parametrize("key_mode", ["coalesced", "bank"])
+def test_rows_the_bank_does_not_know_spread(spark, key_mode):
+    """Two thirds of the gateway is unknown to the bank, and many rows have no id."""
+    bank = side(spark, [(f"t{k}", 1.0, "completed") for k in range(2000)])
+    gateway = side(spark, [(f"t{k}" if k < 6000 else None, float(k), "completed") for k in range(9000)])
+    processor = side(spark, [(f"t{k}", 1.0, "completed") for k in range(1000)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        report = recon.reconcile(bank, gateway, processor, key_mode=key_mode, skew={})
+        sizes = [r[1] for r in report.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 9000 and max(sizes) <= 2 * sum(sizes) / len(sizes) and len(sizes) == 8

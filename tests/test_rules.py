@@ -143,3 +143,34 @@ def test_burst_against_brute_force(spark, seconds):
     for skew in (KeyProfile(), KeyProfile(600, 0, {"hot": 200, "a": 60})):
         found = burst.burst_detect(df, seconds=seconds, skew=skew)
         assert Counter(map(tuple, found.select("transaction_id", "user_id", "burst_count").collect())) == want
+
+
+EDGES = [("a", 100.004), ("a", 200.003), ("b", 0.004), ("b", 0.004), ("c", 1e17), ("c", 1e17), ("d", 2e15), ("e", 1e300), ("e", None), ("f", None)]
+TOTALS = {"a": 300.007, "b": 0.008, "c": 2e17, "d": 2e15, "e": 1e300, "f": None}
+
+
+@pytest.mark.parametrize("skew", [KeyProfile(), KeyProfile(10, 0, {"a": 2, "c": 2, "e": 2})])
+def test_no_amount_is_rounded_or_too_large(spark, skew):
+    rows = [(f"t{k}", u, datetime(2024, 1, 1, 0, k), a, "completed") for k, (u, a) in enumerate(EDGES)]
+    df = spark.createDataFrame(rows, "transaction_id string, user_id string, event_time timestamp, amount double, status string")
+    judged = rules.fraud_rules(df, skew=skew, rows_per_slice=1).collect()
+    last = {r["user_id"]: r for r in sorted(judged, key=lambda r: r["txn_count"])}
+    assert {u: r["txn_total"] for u, r in last.items()} == TOTALS
+    assert last["a"]["is_repeated"] and not last["b"]["is_repeated"]
+    opening = rules.balances(df)
+    again = {r["user_id"]: r for r in rules.fraud_rules(df, skew=skew, opening=opening).collect() if r["txn_count"] == 4 or r["user_id"] in "d"}
+    assert again["a"]["txn_total"] == 600.014 and again["c"]["txn_total"] == 4e17 and again["d"]["txn_total"] == 4e15
+
+
+def test_large_amounts_are_judged(spark):
+    df = spark.createDataFrame([(f'{{"user_id":"u","amount":{a}}}',) for a in ("2e15", "1e300", "1e400")], "value string")
+    judged = messages.classify(messages.parse_messages(df)).withColumn("got", messages.class_alone())
+    assert [r["got"] for r in judged.collect()] == ["alert", "alert", "error"]
+
+
+def test_rows_without_user_share_one_sliced_history(spark):
+    df = history(spark).withColumn("user_id", F.when(F.col("user_id") != "hot", F.col("user_id")))
+    columns = ["transaction_id", "user_id", "txn_count", "txn_total"]
+    plain = rules.fraud_rules(df, skew=KeyProfile()).select(columns).collect()
+    sliced = rules.fraud_rules(df, skew=KeyProfile(600, 200, {"a": 60}), rows_per_slice=13).select(columns).collect()
+    assert Counter(map(tuple, plain)) == Counter(map(tuple, sliced))

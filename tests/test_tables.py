@@ -155,3 +155,16 @@ def test_partitioned_upsert_keeps_stored_columns(spark, tmp_path):
     tables.upsert_table(spark.createDataFrame([(1, "z", 2, "d2")], "id int, v string, t int, day string"), path, ["id"], "t", "day")
     got = {(r["id"], r["v"], r["note"], r["day"]) for r in spark.read.parquet(path).collect()}
     assert got == {(1, "z", "old", "d2"), (2, "b", "kept", "d1")}
+
+
+def test_whole_keys_keep_every_row(spark):
+    """Repeated keys stay, a later run replaces them together, and running twice changes nothing."""
+    schema = "k string, t int, v string, day string"
+    first = [("a", 1, "x", "1"), ("a", 1, "x", "1"), ("a", 1, "y", "2"), ("b", 1, "z", "1")]
+    second = [("a", 2, "w", "3"), ("a", 2, "w", "3"), ("c", 2, "q", "1")]
+    for part in (None, "day"):
+        path = fresh_path(spark, "whole")
+        for rows in (first, first, second, second):
+            tables.upsert_table(spark.createDataFrame(rows, schema), path, ["k"], "t", part, whole_keys=True)
+        got = [(r["k"], r["t"], r["v"], str(r["day"])) for r in tables.read_table(spark, path).collect()]
+        assert Counter(got) == Counter([*second, first[3]])

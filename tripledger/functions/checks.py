@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tripledger import fixed_values as fv
+from tripledger.functions import money
 
 CHANNELS = tuple(fv.TOPICS)
 
@@ -28,11 +29,10 @@ def amount_check(left: Column, right: Column, tolerance: float, exact: bool = Fa
     `exact=True` compares decimals, so that one cent of difference is one cent.
     """
     if exact:
-        left, right = left.cast("decimal(18,2)"), right.cast("decimal(18,2)")
-        limit = F.lit(str(tolerance)).cast("decimal(18,2)")
+        fine = F.abs(money.fine(left) - money.fine(right)) > F.lit(str(tolerance)).cast(money.AMOUNT)
+        apart = F.coalesce(fine, F.abs(left - right) > F.lit(float(tolerance)))
     else:
-        limit = F.lit(float(tolerance))
-    apart = F.abs(left - right) > limit
+        apart = F.abs(left - right) > F.lit(float(tolerance))
     return F.when(apart, fv.MISMATCH).when(apart.isNotNull(), fv.MATCH)
 
 

@@ -15,7 +15,6 @@ from tripledger import fixed_values as fv
 _FIELDS = "transaction_id STRING, user_id STRING, timestamp STRING, amount STRING, status STRING, malformed STRING"
 _STRICT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed", "allowSingleQuotes": "false"}
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_GREATEST_AMOUNT = 1e15
 _SPACE = " \t\r\n"
 
 PARSED = ("transaction_id", "user_id", "event_time", "amount_text", "status")
@@ -81,10 +80,10 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
 def classify(parsed: DataFrame) -> DataFrame:
     """Adds `amount` and `row_class`: 'error', 'invalid', 'missing' or 'valid'.
 
-    Amounts that are no finite number below 10^15 are errors.
+    Amounts that are no finite number are errors.
     """
     number = F.when(F.col("amount_text").rlike(_NUMBER), F.trim("amount_text").try_cast("double"))
-    amount = F.when(F.abs(number) < _GREATEST_AMOUNT, number)
+    amount = F.when(F.abs(number) < float("inf"), number)
     incomplete = F.col("user_id").isNull() | (F.col("user_id") == "") | F.col("amount_text").isNull()
     return parsed.withColumn("amount", amount).withColumn(
         "row_class",

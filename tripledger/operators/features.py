@@ -39,8 +39,8 @@ def user_features(
 
     `grain="clock"` counts by hour of day, date and ISO week number, over all days and years
     of the input; `"bucket"` by calendar hour, date and calendar week. `distinct="approx"`
-    counts distinct values with sketches. `exact_amounts=False` adds amounts as doubles, for
-    feeds with more than two decimals.
+    counts distinct values with sketches. `exact_amounts=False` adds amounts as doubles, which
+    is quicker, but a task that runs again may change the last digits.
     """
     volume = user_volume(txns, grain=grain, exact_amounts=exact_amounts)
     profile = user_profile(txns, distinct=distinct, exact_amounts=exact_amounts)
@@ -57,19 +57,19 @@ def user_volume(txns: DataFrame, *, grain: str = "clock", exact_amounts: bool =
     """Greatest count and amount of a user in any hour, day and week."""
     per_hour = _per_user_hour(txns, exact_amounts).repartition("user_id")
     slots = per_hour.select(
-        "user_id", "n", "total", F.inline(F.array(*[
+        "user_id", "n", "total", "large", F.inline(F.array(*[
             F.struct(F.lit(p).alias("period"), slot.alias("slot"))
             for p, slot in zip(PERIODS, _slots(grain))
         ])),
     )
     # Everything below is local: the rows are partitioned by user.
     per_slot = slots.groupBy("user_id", "period", "slot").agg(
-        F.sum("n").alias("n"), F.sum("total").alias("total")
+        F.sum("n").alias("n"), money.known_total(F.sum("total"), F.sum("large")).alias("total")
     )
     return per_slot.groupBy("user_id").agg(
         *[F.max(F.when(F.col("period") == p, F.col("n"))).alias(f"max_txn_count_{p}") for p in PERIODS],
         *[
-            F.max(F.when(F.col("period") == p, F.col("total"))).cast("double").alias(f"max_txn_amount_{p}")
+            F.max(F.when(F.col("period") == p, F.col("total"))).alias(f"max_txn_amount_{p}")
             for p in PERIODS
         ],
     )
@@ -80,7 +80,7 @@ def user_profile(
 ) -> DataFrame:
     """Amount statistics, distinct places/devices/addresses/cards, failures of every user."""
     sums = txns.groupBy("user_id").agg(*_amount_parts(exact_amounts), *_failure_parts())
-    sums = sums.select("user_id", *_amount_stats(exact_amounts), "failed_txn_count", _failed_ratio())
+    sums = sums.select("user_id", *_amount_stats(), "failed_txn_count", _failed_ratio())
     # Exact distinct counts multiply the rows they read; the sums stay out of that.
     merged = _merge_users(sums, user_diversity(txns, distinct=distinct))
     return merged.select(
@@ -90,10 +90,7 @@ def user_profile(
 
 
 def user_amounts(txns: DataFrame, *, exact_amounts: bool = True) -> DataFrame:
-    return (
-        txns.groupBy("user_id").agg(*_amount_parts(exact_amounts))
-        .select("user_id", *_amount_stats(exact_amounts))
-    )
+    return txns.groupBy("user_id").agg(*_amount_parts(exact_amounts)).select("user_id", *_amount_stats())
 
 
 def user_diversity(txns: DataFrame, *, distinct: str = "exact") -> DataFrame:
@@ -116,7 +113,7 @@ def transaction_context(txns: DataFrame, *, grain: str = "clock") -> DataFrame:
     """
     hour_slot, day_slot, week_slot = _slots(grain)
     per_hour = (
-        _per_user_hour(txns, exact_amounts=True)
+        _per_user_hour(txns)
         .repartition("user_id")
         .withColumns({"slot_hourly": hour_slot, "slot_daily": day_slot, "slot_weekly": week_slot})
     )
@@ -124,7 +121,7 @@ def transaction_context(txns: DataFrame, *, grain: str = "clock") -> DataFrame:
     for p in PERIODS:
         peers = Window.partitionBy("user_id", f"slot_{p}")
         columns[f"txn_count_{p}"] = F.sum("n").over(peers)
-        columns[f"txn_amount_{p}"] = F.sum("total").over(peers).cast("double")
+        columns[f"txn_amount_{p}"] = money.known_total(F.sum("total").over(peers), F.sum("large").over(peers))
     hours = per_hour.withColumns(columns).select("user_id", "day", "hour", *columns)
     users = user_profile(txns)
     context = hours.alias("h").join(users.alias("u"), F.col("h.user_id").eqNullSafe(F.col("u.user_id")))
@@ -169,12 +166,16 @@ def _hour_key() -> list[Column]:
     return [F.to_date("event_time").alias("day"), F.hour("event_time").alias("hour")]
 
 
-def _per_user_hour(txns: DataFrame, exact_amounts: bool) -> DataFrame:
-    amount = money.exact("amount") if exact_amounts else F.col("amount")
+def _per_user_hour(txns: DataFrame, exact_amounts: bool = True) -> DataFrame:
+    fine, coarse = money.parts("amount", exact_amounts)
     return (
-        txns.select("user_id", "transaction_id", amount.alias("amount"), *_hour_key())
+        txns.select("user_id", "transaction_id", "amount", *_hour_key())
         .groupBy("user_id", "day", "hour")
-        .agg(F.count("transaction_id").alias("n"), F.sum("amount").alias("total"))
+        .agg(
+            F.count("transaction_id").alias("n"),
+            F.sum(fine).alias("total"),
+            F.sum(coarse).alias("large"),
+        )
     )
 
 
@@ -189,33 +190,34 @@ def _slots(grain: str) -> tuple[Column, Column, Column]:
     return day * 24 + F.col("hour"), day, week
 
 
-def _amount_parts(exact_amounts: bool) -> list[Column]:
-    extremes = [F.max("amount").alias("max_txn_amount"), F.min("amount").alias("min_txn_amount")]
+def _amount_parts(exact_amounts: bool = True) -> list[Column]:
+    fine, coarse = money.parts("amount", exact_amounts)
+    cents = money.whole_cents("amount")
     if not exact_amounts:
-        return [
-            F.avg("amount").alias("avg_txn_amount"),
-            F.stddev_samp("amount").alias("stddev_txn_amount"),
-            *extremes,
-        ]
-    amount = money.exact("amount")
+        cents = F.when(F.lit(False), cents)
     return [
         F.count("amount").alias("n_amount"),
-        F.sum(amount).alias("sum_amount"),
-        F.sum(amount * amount).alias("sum_squares"),
-        *extremes,
+        F.sum(fine).alias("sum_amount"),
+        F.sum(coarse).alias("sum_large"),
+        F.count(cents).alias("n_cents"),
+        F.sum(cents).alias("sum_cents"),
+        F.sum(cents * cents).alias("sum_squares"),
+        F.stddev_samp("amount").alias("stddev_streamed"),
+        F.max("amount").alias("max_txn_amount"),
+        F.min("amount").alias("min_txn_amount"),
     ]
 
 
-def _amount_stats(exact_amounts: bool) -> list[Column]:
-    names = ("avg_txn_amount", "stddev_txn_amount", "max_txn_amount", "min_txn_amount")
-    if not exact_amounts:
-        return [F.col(n) for n in names]
-    n, total, squares = F.col("n_amount"), F.col("sum_amount"), F.col("sum_squares")
+def _amount_stats() -> list[Column]:
+    n = F.col("n_amount")
+    deviation = money.sample_stddev(
+        F.col("sum_cents"), F.col("sum_squares"), F.col("n_cents"), n, F.col("stddev_streamed")
+    )
     return [
-        money.mean(total, n).alias(names[0]),
-        money.sample_stddev(total, squares, n).alias(names[1]),
-        F.col(names[2]),
-        F.col(names[3]),
+        money.mean(money.known_total("sum_amount", "sum_large"), n).alias("avg_txn_amount"),
+        deviation.alias("stddev_txn_amount"),
+        F.col("max_txn_amount"),
+        F.col("min_txn_amount"),
     ]
 
 

@@ -6,7 +6,7 @@ from datetime import datetime
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripledger import fixed_values as fv
@@ -41,8 +41,9 @@ def reconcile(
     `dedupe="latest"` keeps each channel's newest row per id.
 
     Ids with very many rows are salted instead of meeting in one task. They are looked for
-    when the inputs are large; `skew` takes a profile made before, or `{}` for none. It
-    changes the plan, never the rows.
+    when the inputs are large; `skew` takes a profile made before, or `{}` for none (needed on
+    streams: looking for ids, and counting those of a profile, runs a small job while the plan is
+    made). It changes the plan, never the rows.
     """
     if key_mode not in KEY_MODES:
         raise ValueError(f"key_mode is one of {KEY_MODES}")
@@ -84,6 +85,17 @@ def summarize(report: DataFrame) -> DataFrame:
     )
 
 
+def with_row_key(report: DataFrame) -> DataFrame:
+    """Adds `row_key`: the id, or for rows without one a hash of what they hold, run time aside.
+
+    All rows of a key are one result: a table keeps them together and a later run replaces them
+    together (`sources.tables.upsert_table(whole_keys=True)`)."""
+    content = F.to_json(F.struct(*[c for c in report.columns if c != "reconciliation_time"]))
+    return report.withColumn(
+        "row_key", F.coalesce("transaction_id", F.concat(F.lit("\u0000"), F.sha2(content, 256)))
+    )
+
+
 def result_payload(report: DataFrame) -> DataFrame:
     """Key and JSON value of every payment that is not reconciled, for a message topic."""
     value = F.to_json(
@@ -112,13 +124,30 @@ def _prefixed(df: DataFrame, channel: str) -> DataFrame:
     )
 
 
+def _spread(key: Column, *other: Column) -> tuple[Column, Column]:
+    """Join key that equals `key` where there is one. Rows without it match nothing, and hash by
+    their other columns instead of meeting in one task."""
+    alone = F.xxhash64(*other).cast("string")
+    return key.isNotNull(), F.coalesce(key, alone)
+
+
+def _full(left: DataFrame, key: Column, right: DataFrame, channel: str) -> DataFrame:
+    """Full join on ids; NULL ids match nothing."""
+    (known, left_id) = _spread(key, *[F.col(c) for c in left.columns])
+    (_, right_id) = _spread(F.col(f"{channel}_id"), *[F.col(c) for c in right.columns])
+    # 1 meets 1; the marks of unknown ids differ on the two sides.
+    left_mark = F.when(known, F.lit(1)).otherwise(F.lit(2))
+    right_mark = F.when(F.col(f"{channel}_id").isNotNull(), F.lit(1)).otherwise(F.lit(3))
+    return left.join(right, (left_id == right_id) & (left_mark == right_mark), "full")
+
+
 def _match(sides: dict[str, DataFrame], key_mode: str) -> DataFrame:
     first, second, *rest = sides
     ids = [F.col(f"{first}_id"), F.col(f"{second}_id")]
-    matched = sides[first].join(sides[second], ids[0] == ids[1], "full")
+    matched = _full(sides[first], ids[0], sides[second], second)
     key = ids[0] if key_mode == "bank" else F.coalesce(*ids)
     for channel in rest:
-        matched = matched.join(sides[channel], key == F.col(f"{channel}_id"), "full")
+        matched = _full(matched, key, sides[channel], channel)
     return matched
 
 
@@ -135,81 +164,70 @@ def _match_skewed(
     if skew is None:
         skew = profile_keys(frames, "transaction_id")
     sides = {c: _prefixed(df, c) for c, df in frames.items()}
-    hot = _anchors(skew)
-    no_id = [c for c in sides if c in skew and skew[c].null_keys > 0]
-    if not hot and not no_id:
-        return _match(sides, key_mode)
-    ids = list(hot)
-    cold = {}
-    for c, side in sides.items():
-        key = F.col(f"{c}_id")
-        rest = side.filter(not_among(key, ids)) if ids else side
-        cold[c] = rest.filter(key.isNotNull()) if c in no_id else rest
-    parts = [_match(cold, key_mode)]
-    # A row without an id matches nothing. Kept out of the join, such rows cannot all hash
-    # to one task.
-    parts += [sides[c].filter(F.col(f"{c}_id").isNull()) for c in no_id]
-    if key_mode == "bank" and ids:
-        hot, orphans = _split_by_bank(sides, hot)
-        if orphans:
-            parts += [sides[c].filter(among(F.col(f"{c}_id"), orphans)) for c in CHANNELS[1:]]
-    for anchor in sides:
-        mine = {i: n for i, (c, n) in hot.items() if c == anchor}
-        if mine:
-            parts.append(_match_hot(sides, anchor, mine, rows_per_salt))
+    ids = sorted({i for profile in skew.values() for i in profile.hot})
+    # Identical rows without id hash alike: where there are very many, they pass the join by.
+    no_id = [c for c in sides if c in skew and skew[c].null_keys > rows_per_salt]
+    cold = {c: side.filter(not_among(F.col(f"{c}_id"), ids)) for c, side in sides.items()} if ids else dict(sides)
+    parts = [sides[c].filter(F.col(f"{c}_id").isNull()) for c in no_id]
+    for c in no_id:
+        cold[c] = cold[c].filter(F.col(f"{c}_id").isNotNull())
+    parts = [_match(cold, key_mode), *parts]
+    if not ids:
+        return _union(parts)
+    for present, rows_of in _by_presence(sides, ids, key_mode).items():
+        parts.append(_product({c: sides[c] for c in present}, rows_of, rows_per_salt))
     return _union(parts)
 
 
-def _anchors(skew: dict[str, KeyProfile]) -> dict[str, tuple[str, int]]:
-    """Hot id -> the channel that has most rows of it, and how many."""
-    best: dict[str, tuple[str, int]] = {}
-    for channel, profile in skew.items():
-        for item, n in profile.hot.items():
-            if item not in best or n > best[item][1]:
-                best[item] = (channel, n)
-    return best
-
-
-def _split_by_bank(sides, hot):
-    """Hot ids the bank knows, and those it does not (at most as many as there are hot ids)."""
-    bank = CHANNELS[0]
-    rows = sides[bank].filter(among(F.col(f"{bank}_id"), hot)).select(f"{bank}_id").distinct().collect()
-    known = {r[0] for r in rows}
-    return {i: v for i, v in hot.items() if i in known}, [i for i in hot if i not in known]
-
-
-def _match_hot(
-    sides: dict[str, DataFrame], anchor: str, rows_of: dict[str, int], rows_per_salt: int
+def _by_presence(
+    sides: dict[str, DataFrame], ids: list[str], key_mode: str
+) -> dict[tuple[str, ...], dict[str, dict[str, int]]]:
+    """Channels that match each other on an id -> id -> rows in each of them, by a count of the
+    listed ids (at most `max_hot` per channel, see `skew`). What a profile says about where an
+    id occurs, or how often, is not relied on."""
+    listed = [
+        side.filter(among(F.col(f"{c}_id"), ids)).select(F.lit(c).alias("c"), F.col(f"{c}_id").alias("i"))
+        for c, side in sides.items()
+    ]
+    rows_of: dict[str, dict[str, int]] = {}
+    for c, i, n in _union(listed).groupBy("c", "i").count().collect():
+        rows_of.setdefault(i, {})[c] = n
+    groups: dict[tuple[str, ...], dict[str, dict[str, int]]] = {}
+    for i, counts in rows_of.items():
+        apart = key_mode == "bank" and CHANNELS[0] not in counts
+        matching = [(c,) for c in counts] if apart else [tuple(c for c in sides if c in counts)]
+        for present in matching:
+            groups.setdefault(present, {})[i] = counts
+    return groups
+
+
+def _product(
+    sides: dict[str, DataFrame], rows_of: dict[str, dict[str, int]], rows_per_salt: int
 ) -> DataFrame:
-    """Rows of hot ids. The anchor channel has rows of every one of them, so no row of the
-    other channels stays unmatched and left joins give the full outer result. The anchor is
-    salted, the others are repeated once per salt of their id.
+    """All combinations of rows of hot ids, over channels that all have rows of each id.
+
+    Every channel's rows of an id are cut into pieces, and each combination of pieces is one
+    cell of the join: a row goes to the cells that hold its piece.
     """
-    spark = sides[anchor].sparkSession
-    salts = F.broadcast(  # at most max_hot ids per channel
-        spark.createDataFrame(
-            [(i, -(-n // rows_per_salt)) for i, n in rows_of.items()], "hot_id string, salts long"
-        )
-    )
-    a_key = f"{anchor}_id"
-    facts = [c for c in sides[anchor].columns if c != a_key]
-    joined = (
-        sides[anchor]
-        .join(salts, F.col(a_key) == F.col("hot_id"))
-        .withColumn("salt", stable_salt(F.col("salts"), *facts))
-        .drop("salts")
-    )
-    for other in sides:
-        if other == anchor:
-            continue
-        repeated = (
-            sides[other]
-            .join(salts, F.col(f"{other}_id") == F.col("hot_id"))
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-            .drop("salts")
-        )
-        joined = joined.join(repeated, ["hot_id", "salt"], "left")
-    return joined.drop("hot_id", "salt")
+    first = next(iter(sides.values()))
+    if len(sides) == 1:
+        (c,) = sides
+        return first.filter(among(F.col(f"{c}_id"), list(rows_of)))
+    cuts = [(i, *[-(-counts[c] // rows_per_salt) for c in sides]) for i, counts in rows_of.items()]
+    schema = "hot_id string, " + ", ".join(f"{c}_cuts long" for c in sides)
+    grid = F.broadcast(first.sparkSession.createDataFrame(cuts, schema))  # one row per hot id
+    celled = []
+    for c, side in sides.items():
+        facts = [name for name in side.columns if name != f"{c}_id"]
+        placed = side.join(grid, F.col(f"{c}_id") == F.col("hot_id"))
+        placed = placed.withColumn(f"{c}_cut", stable_salt(F.col(f"{c}_cuts"), *facts))
+        for other in sides:
+            if other != c:
+                pieces = F.sequence(F.lit(0).cast("long"), F.col(f"{other}_cuts") - 1)
+                placed = placed.withColumn(f"{other}_cut", F.explode(pieces))
+        celled.append(placed.drop(*[f"{o}_cuts" for o in sides]))
+    cell = ["hot_id", *[f"{c}_cut" for c in sides]]
+    return reduce(lambda a, b: a.join(b, cell), celled).drop(*cell)
 
 
 def _match_latest(frames: dict[str, DataFrame], key_mode: str) -> DataFrame:

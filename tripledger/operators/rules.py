@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tripledger import fixed_values as fv
 from tripledger.functions import alerts, money
 from tripledger.functions.messages import ALERT
-from tripledger.operators.skew import KeyProfile, among, not_among, profile_keys
+from tripledger.operators.skew import KeyProfile, among, profile_keys
 from tripledger.sources.scratch import materialize
 
 TIE_BREAKERS = ("source", "amount", "status")
 ROWS_PER_SLICE = 2_000_000
+BROADCAST_ROWS = 100_000  # of five small columns, about 10 MB
 
 
 def fraud_rules(
@@ -45,7 +46,7 @@ def running_totals(
     rows_per_slice: int = ROWS_PER_SLICE,
     opening: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds `txn_count` and `txn_total` (exact, as double).
+    """Adds `txn_count` and `txn_total` (summed without loss, given as double).
 
     Users with very many rows have their history cut into slices of about `rows_per_slice`
     rows; each slice is summed on its own and starts from the total of the slices before it.
@@ -57,24 +58,29 @@ def running_totals(
     if skew is None:
         skew = profile_keys({"txns": txns}, "user_id")["txns"]
     order = [*order_by, *[c for c in TIE_BREAKERS if c in txns.columns and c not in order_by]]
-    if not skew.hot:
+    nobody = skew.null_keys > rows_per_slice  # rows without user share one history
+    if not skew.hot and not nobody:
         return _finish(_windowed(txns, ["user_id"], order), opening)
     user = F.col("user_id")
-    cold = _windowed(txns.filter(not_among(user, skew.hot)), ["user_id"], order)
-    hot = _sliced(txns.filter(among(user, skew.hot)), order, skew.hot, rows_per_slice)
+    many = F.when(user.isNull(), F.lit(nobody)).otherwise(among(user, skew.hot))
+    rows_of = {**skew.hot, **({None: skew.null_keys} if nobody else {})}
+    cold = _windowed(txns.filter(~many), ["user_id"], order)
+    hot = _sliced(txns.filter(many), order, rows_of, rows_per_slice)
     return _finish(cold.unionByName(hot), opening)
 
 
 def balances(txns: DataFrame, opening: DataFrame | None = None) -> DataFrame:
-    """Count `n` and exact `total` per user after `txns`, on top of `opening`."""
+    """Count `n`, exact `total` and `large` (see `functions.money`) per user after `txns`, on
+    top of `opening`."""
     sums = txns.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(money.exact("amount")), F.lit(0)).cast("decimal(38,2)").alias("total"),
+        F.coalesce(F.sum(money.fine("amount")), F.lit(0)).cast(money.TOTAL).alias("total"),
+        F.sum(money.coarse("amount")).alias("large"),
     )
     if opening is None:
         return sums
-    return sums.unionByName(opening).groupBy("user_id").agg(
-        F.sum("n").alias("n"), F.sum("total").cast("decimal(38,2)").alias("total")
+    return sums.unionByName(opening, allowMissingColumns=True).groupBy("user_id").agg(
+        F.sum("n").alias("n"), F.sum("total").cast(money.TOTAL).alias("total"), F.sum("large").alias("large")
     )
 
 
@@ -103,7 +109,8 @@ def _windowed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumns(
         {
             "txn_count": F.count(F.lit(1)).over(run),
-            "_total": F.sum(money.exact("amount")).over(run).cast("decimal(38,2)"),
+            "_total": F.sum(money.fine("amount")).over(run).cast(money.TOTAL),
+            "_large": F.sum(money.coarse("amount")).over(run),
         }
     )
 
@@ -119,31 +126,49 @@ def _sliced(df: DataFrame, order: list[str], rows_of: dict[str, int], rows_per_s
     ranged = materialize(ranged, "user-slices")
     within = _windowed(ranged, ["_slice", "user_id"], [*order, "_copy"])
     per_slice = ranged.groupBy("user_id", "_slice").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(money.exact("amount")).alias("total")
+        F.count(F.lit(1)).alias("n"),
+        F.sum(money.fine("amount")).alias("total"),
+        F.sum(money.coarse("amount")).alias("large"),
     )
     earlier = Window.partitionBy("user_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     opening = per_slice.select(
         "user_id", "_slice",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_n_before"),
-        F.coalesce(F.sum("total").over(earlier), F.lit(0)).cast("decimal(38,2)").alias("_total_before"),
+        F.sum("total").over(earlier).cast(money.TOTAL).alias("_total_before"),
+        F.sum("large").over(earlier).alias("_large_before"),
+    ).withColumnsRenamed({"user_id": "_user", "_slice": "_part"})
+    # Ranges are contiguous, so there are at most hot users + slices such rows. No row of the
+    # large side moves while they are few; beyond that the join is AQE's, on the slice.
+    if slices + len(rows_of) < BROADCAST_ROWS:
+        opening = F.broadcast(opening)
+    joined = within.join(
+        opening, (F.col("_slice") == F.col("_part")) & F.col("user_id").eqNullSafe(F.col("_user"))
     )
-    # Ranges are contiguous, so there are at most hot users + slices such rows.
-    joined = within.join(F.broadcast(opening), ["user_id", "_slice"])
     return joined.select(
         *df.columns,
         (F.col("txn_count") + F.col("_n_before")).alias("txn_count"),
-        (F.coalesce("_total", F.lit(0)) + F.col("_total_before")).cast("decimal(38,2)").alias("_total"),
+        _added("_total", "_total_before").cast(money.TOTAL).alias("_total"),
+        _added("_large", "_large_before").alias("_large"),
     )
 
 
+def _added(a: str, b: str):
+    """Sum of two partial sums, either of which may have seen no amount."""
+    return F.coalesce(F.col(a) + F.col(b), F.col(a), F.col(b))
+
+
 def _finish(df: DataFrame, opening: DataFrame | None) -> DataFrame:
     if opening is not None:
         # One opening row per user; the rows are the left side, which may be split when skewed.
-        before = opening.select("user_id", F.col("n").alias("_n"), F.col("total").alias("_before"))
-        df = df.join(before, "user_id", "left").withColumns(
+        before = opening.select(
+            F.col("user_id").alias("_user"), F.col("n").alias("_n"),
+            F.col("total").alias("_before"), F.col("large").alias("_large_before"),
+        )
+        df = df.join(before, F.col("user_id").eqNullSafe(F.col("_user")), "left").withColumns(
             {
                 "txn_count": F.col("txn_count") + F.coalesce("_n", F.lit(0)),
-                "_total": (F.coalesce("_total", F.lit(0)) + F.coalesce("_before", F.lit(0))).cast("decimal(38,2)"),
+                "_total": _added("_total", "_before").cast(money.TOTAL),
+                "_large": _added("_large", "_large_before"),
             }
-        ).drop("_n", "_before")
-    return df.withColumn("txn_total", F.col("_total").cast("double")).drop("_total")
+        ).drop("_user", "_n", "_before", "_large_before")
+    return df.withColumn("txn_total", money.known_total("_total", "_large")).drop("_total", "_large")

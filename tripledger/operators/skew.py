@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
-SKIP_BELOW_BYTES = 1 << 30
+SKIP_BELOW_BYTES = 64 << 20
 LOOK_AT = 0.1
 
 
@@ -47,8 +47,8 @@ def profile_keys(
 ) -> dict[str, KeyProfile]:
     """Rows, rows without key and hot keys (at least `min_rows` rows) of every frame.
 
-    Frames that together are smaller than `skip_below_bytes` are not read: no key of theirs
-    can be too large for a task. The sketch looks at a share `look_at` of the rows, in which
+    Frames that together are smaller than `skip_below_bytes` are not read: a task can take all
+    of what so few bytes hold, unless every column repeats one value. The sketch looks at a share `look_at` of the rows, in which
     a key with millions of rows cannot hide; of `tracked` items it keeps, it misses none
     with more than about 3.5 / tracked of the rows.
     """

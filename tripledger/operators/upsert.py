@@ -28,6 +28,13 @@ def same_key(left: str, right: str, keys: Sequence[str]):
     return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
+def replace_keys(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`target` in which all rows of the incoming keys give way to all rows of `incoming`."""
+    named = incoming.select(*keys).distinct().alias("f")
+    kept = target.alias("t").join(named, same_key("t", "f", keys), "left_anti")
+    return kept.unionByName(incoming, allowMissingColumns=True)
+
+
 def upsert_latest(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]
 ) -> DataFrame:

@@ -38,7 +38,10 @@ def reconcile_job(
     on_missing: str = "error",
     **options,
 ) -> DataFrame:
-    """Reconcile a time range, merge it into the table, return the summary of the range."""
+    """Reconcile a time range, merge it into the table, return the summary of the range.
+
+    The table has every row of the report; a later run that sees an id replaces all its rows.
+    """
     settings = settings or Settings()
     lo, hi = raw.resolve_range(start, end, lookback)
     frames = {
@@ -49,8 +52,8 @@ def reconcile_job(
     report = recon.reconcile(**frames, as_of=as_of, **options)
     path = f"{settings.reconciled_root}/{table}"
     # Merged and summarized below: computed once.
-    dated = materialize(report.withColumn("event_date", F.to_date("event_time")), "report")
-    tables.upsert_table(dated, path, ["transaction_id"], "reconciliation_time", "event_date")
+    dated = materialize(recon.with_row_key(report).withColumn("event_date", F.to_date("event_time")), "report")
+    tables.upsert_table(dated, path, ["row_key"], "reconciliation_time", "event_date", whole_keys=True)
     return recon.summarize(dated)
 
 

@@ -216,6 +216,13 @@ def _rules(select: str, source: str = "payments") -> str:
     return f"{_with('', 'payments').rstrip()}, {_RULES.replace('{source}', source)} {select} from judged"
 
 
+def _fine_rules() -> str:
+    """The rules over a seventh of each amount, rounded to four places."""
+    fine = "fine as (select * replace (cast(round(amount / 7, 4) as double) as amount) from payments)"
+    rules = _RULES.replace("{source}", "fine").replace("decimal(18,2)", "decimal(18,4)")
+    return f"{_with('', 'payments').rstrip()}, {fine}, {rules} select {_RULE_COLUMNS} from judged"
+
+
 _SHAPE = """case when event_type = 'click' then 'text'
     when event_type = 'error' and amount < 10 then 'invalid'
     when event_type = 'error' and amount >= 40 and amount < 50 then 'error' else 'json' end"""
@@ -292,6 +299,20 @@ def _upserted_features() -> str:
     )
 
 
+def _upserted_bank_key_report() -> str:
+    sides = ", gateway as (select * from g1 union all select * from g1 where amount > 400), " \
+        "processor as (select * replace (if(amount > 50, transaction_id, null) as transaction_id) from p1)"
+    tables = _with("", *_CHANNELS).rstrip().replace("gateway as (", "g1 as (").replace("processor as (", "p1 as (")
+    columns = "transaction_id, user_id, bank_presence, gateway_presence, processor_presence, reconciliation_status"
+    report = _report(second_key="b.transaction_id")
+    early = f"{tables}{sides}, {report} select {columns}, timestamp '2024-02-01' as reconciled_at from report"
+    late = early.replace("full join processor p", "full join bank p").replace("02-01", "02-02") + " where bank_presence = 'present'"
+    return (
+        f"select * from ({late}) union all select * from ({early}) "
+        f"where transaction_id is null or transaction_id not in (select transaction_id from ({late}))"
+    )
+
+
 def _upserted_report() -> str:
     early = _recon("select transaction_id, user_id, reconciliation_status, timestamp '2024-02-01' as reconciled_at from report")
     late = _recon(
@@ -384,6 +405,7 @@ ORACLES = {
     ),
     "txn_validate": _with(f"select transaction_id as sent_id, {_CLASS} as row_class from payments", "payments"),
     "fraud_rules": _rules(f"select {_RULE_COLUMNS}"),
+    "fraud_rules_fine_amounts": _fine_rules(),
     "fraud_rules_hot_users": _rules(f"select {_RULE_COLUMNS}"),
     "fraud_alert_text": _rules(f"select transaction_id, {_line()} as verdict"),
     "fraud_text_sample": (
@@ -400,6 +422,7 @@ ORACLES = {
         l_tax desc, l_returnflag desc, l_linestatus desc) as rn from lineitem) where rn = 1""",
     "upsert_features": _upserted_features(),
     "upsert_reconciled": _upserted_report(),
+    "upsert_reconciled_bank_key": _upserted_bank_key_report(),
     "stream_source": _with(
         f"select 'bank_transactions' as topic, {_SHAPE} as shape, {_CLASS} as row_class, {_PARSED_USER} as user_id, "
         f"{_PARSED_AMOUNT} as amount from payments",

@@ -254,6 +254,12 @@ def fraud_rules(spark, sf_dir):
     return rules.fraud_rules(views.payments(spark, sf_dir)).select(*RULES)
 
 
+def fraud_rules_fine_amounts(spark, sf_dir):
+    """Amounts of four decimals: totals add all of them."""
+    fine = views.payments(spark, sf_dir).withColumn("amount", F.round(F.col("amount").cast("decimal(18,2)") / 7, 4).cast("double"))
+    return rules.fraud_rules(fine).select(*RULES)
+
+
 def fraud_rules_hot_users(spark, sf_dir):
     """The same with every user treated as hot: history summed in slices."""
     source = views.payments(spark, sf_dir)
@@ -334,6 +340,29 @@ def upsert_reconciled(spark, sf_dir):
     return rows.select("transaction_id", "user_id", "reconciliation_status", "reconciled_at")
 
 
+def upsert_reconciled_bank_key(spark, sf_dir):
+    """Every row of two reports matched on the bank's id, also those of one id and those without;
+    the second run sees the processor late, and only payments of which it has something."""
+    path = fresh_path(spark, "reconciled-bank-key")
+    frames = views.channels(spark, sf_dir)
+    frames["gateway"] = frames["gateway"].unionByName(frames["gateway"].filter(F.col("amount") > 400))
+    frames["processor"] = frames["processor"].withColumn(
+        "transaction_id", F.when(F.col("amount") > 50, F.col("transaction_id"))
+    )
+    late = {**frames, "processor": frames["bank"]}
+    for channel_frames, as_of in ((frames, FIRST_RUN), (frames, FIRST_RUN), (late, SECOND_RUN)):
+        report = reconcile.reconcile(**channel_frames, key_mode="bank", as_of=as_of)
+        if as_of == SECOND_RUN:
+            report = report.filter(F.col("bank_presence") == fv.PRESENT)
+        dated = reconcile.with_row_key(report).withColumn("event_date", F.to_date("event_time"))
+        tables.upsert_table(dated, path, ["row_key"], "reconciliation_time", "event_date", whole_keys=True)
+    rows = _ntz(tables.read_table(spark, path), "reconciliation_time", "reconciled_at")
+    return rows.select(
+        "transaction_id", "user_id", "bank_presence", "gateway_presence", "processor_presence",
+        "reconciliation_status", "reconciled_at",
+    )
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -461,9 +490,9 @@ QUERIES = {
         user_features, user_features_volume, user_features_volume_bucketed,
         user_features_week_collision, user_features_amount, user_features_diversity,
         user_features_failed, user_features_windowed, risk_score, high_risk_users, feature_summary,
-        txn_parse, txn_validate, fraud_rules, fraud_rules_hot_users, fraud_alert_text,
+        txn_parse, txn_validate, fraud_rules, fraud_rules_fine_amounts, fraud_rules_hot_users, fraud_alert_text,
         fraud_text_sample, fraud_alert_payload, burst_detect, burst_detect_hot_users,
-        dedupe_latest, upsert_features, upsert_reconciled,
+        dedupe_latest, upsert_features, upsert_reconciled, upsert_reconciled_bank_key,
         stream_source, stream_union, land_topics, stream_fraud_rules, stream_burst, stream_restart,
         stream_fraud_ledger,
     )

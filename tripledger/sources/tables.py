@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.operators.upsert import dedupe_latest, same_key, upsert_latest
+from tripledger.operators.upsert import dedupe_latest, replace_keys, same_key, upsert_latest
 from tripledger.sources import paths
 from tripledger.sources.scratch import materialize
 
@@ -31,11 +31,17 @@ def upsert_table(
     keys: Sequence[str],
     order_by: str | Sequence[str],
     partition_by: str | None = None,
+    whole_keys: bool = False,
 ) -> None:
+    """Merge `incoming` into the table: one row per key, the newest of `incoming` wins.
+
+    With `whole_keys` a key stands for all its rows: every incoming row is kept, and together
+    they replace all stored rows of their keys.
+    """
     if partition_by is None:
-        _write_next_version(incoming, path, keys, order_by)
+        _write_next_version(incoming, path, keys, order_by, whole_keys)
     else:
-        _write_partitions(incoming, path, keys, order_by, partition_by)
+        _write_partitions(incoming, path, keys, order_by, partition_by, whole_keys)
 
 
 def _finished_versions(spark: SparkSession, path: str) -> list[int]:
@@ -49,19 +55,21 @@ def _current_version(spark: SparkSession, path: str) -> int | None:
     return max(_finished_versions(spark, path), default=None)
 
 
-def _write_next_version(incoming, path, keys, order_by) -> None:
+def _write_next_version(incoming, path, keys, order_by, whole_keys) -> None:
     spark = incoming.sparkSession
     version = _current_version(spark, path)
-    if version is None:
+    if whole_keys:
+        rows = incoming if version is None else replace_keys(read_table(spark, path), incoming, keys)
+    elif version is None:
         rows = dedupe_latest(incoming, keys, order_by)
     else:
         rows = upsert_latest(read_table(spark, path), incoming, keys, order_by)
     rows.write.mode("overwrite").parquet(f"{path}/{_VERSION}{(version or 0) + 1:08d}")
 
 
-def _write_partitions(incoming, path, keys, order_by, partition_by) -> None:
+def _write_partitions(incoming, path, keys, order_by, partition_by, whole_keys) -> None:
     spark = incoming.sparkSession
-    fresh = dedupe_latest(incoming, keys, order_by)
+    fresh = incoming if whole_keys else dedupe_latest(incoming, keys, order_by)
     if not paths.exists(spark, path):
         _overwrite_partitions(fresh, path, partition_by)
         return
@@ -71,9 +79,11 @@ def _write_partitions(incoming, path, keys, order_by, partition_by) -> None:
     current = current.withColumn(partition_by, F.col(partition_by).cast(fresh.schema[partition_by].dataType))
     stored = [c for c in current.columns if c not in fresh.columns]
     if stored:
-        old = current.select(*keys, *stored).alias("t")
+        newest = F.max_by(F.struct(*stored), F.struct(order_by) if isinstance(order_by, str) else F.struct(*order_by))
+        old = current.groupBy(*keys).agg(newest.alias("_stored")).alias("t")
         fresh = materialize(
-            fresh.alias("f").join(old, same_key("t", "f", keys), "left").select("f.*", *[f"t.{c}" for c in stored]),
+            fresh.alias("f").join(old, same_key("t", "f", keys), "left").select(
+                "f.*", *[F.col(f"t._stored.{c}").alias(c) for c in stored]),
             "upsert-incoming")
     # A key may have moved: its old partition is touched as well as its new one.
     moved = current.alias("t").join(

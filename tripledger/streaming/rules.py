@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Context, Decimal
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -14,7 +16,10 @@ from tripledger import fixed_values as fv
 from tripledger.functions import alerts, messages, money
 
 _CARRIED = ("transaction_id", "event_time", "amount", "status", "source")
-_STATE = "n LONG, cents LONG"
+_STATE = T.StructType(
+    [T.StructField("n", T.LongType()), T.StructField("total", money.TOTAL), T.StructField("large", T.DoubleType())]
+)
+_EXACT = Context(prec=money.TOTAL.precision)
 _OUT = T.StructType(
     [
         T.StructField("user_id", T.StringType()),
@@ -24,7 +29,8 @@ _OUT = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("txn_count", T.LongType()),
-        T.StructField("cents", T.LongType()),
+        T.StructField("total", money.TOTAL),
+        T.StructField("large", T.DoubleType()),
     ]
 )
 _ORDER = ["event_time", "transaction_id", "source", "amount", "status"]
@@ -84,7 +90,9 @@ def fraud_rules_stream(
     if once_per_id:
         txns = txns.dropDuplicatesWithinWatermark(["transaction_id"])
     keyed = txns.select(
-        "user_id", *_CARRIED, F.coalesce((money.exact("amount") * 100).cast("long"), F.lit(0)).alias("cents")
+        "user_id", *_CARRIED,
+        F.coalesce(money.fine("amount").cast(money.TOTAL), F.lit(0).cast(money.TOTAL)).alias("total"),
+        F.coalesce(money.coarse("amount"), F.lit(0.0)).alias("large"),
     )
 
     def advance(
@@ -94,10 +102,12 @@ def fraud_rules_stream(
             state.remove()
             return
         rows = pd.concat(list(chunks)).sort_values(_ORDER, na_position="first", kind="stable")
-        n, cents = state.get if state.exists else (0, 0)
+        n, total, large = state.get if state.exists else (0, Decimal(0), 0.0)
         rows["txn_count"] = range(n + 1, n + len(rows) + 1)
-        rows["cents"] = rows["cents"].cumsum() + cents
-        state.update((n + len(rows), int(rows["cents"].iloc[-1])))
+        totals = list(accumulate(rows["total"], _EXACT.add, initial=total))[1:]
+        rows["total"] = totals
+        rows["large"] = list(accumulate(rows["large"], initial=large))[1:]
+        state.update((n + len(rows), totals[-1], float(rows["large"].iloc[-1])))
         if forget_ms is not None:
             newest = rows["event_time"].max()
             if not pd.isna(newest):
@@ -106,5 +116,6 @@ def fraud_rules_stream(
         yield rows[_OUT.fieldNames()]
 
     counted = keyed.groupBy("user_id").applyInPandasWithState(advance, _OUT, _STATE, "append", timeout)
-    totals = counted.withColumn("txn_total", (F.col("cents") / F.lit(100.0))).drop("cents")
+    totals = counted.withColumn("txn_total", money.known_total("total", F.nullif("large", F.lit(0.0))))
+    totals = totals.drop("total", "large")
     return alerts.apply_rules(totals, threshold)
