@@ -16,7 +16,6 @@ RESULT_TOPIC = "reconciliation_results"
 # Source names by channel; every other source name belongs to the processor channel.
 BANK_SOURCES = ("bank",)
 GATEWAY_SOURCES = ("Stripe", "PayPal", "Adyen", "Braintree", "Square")
-PROCESSOR_SOURCES = ("FirstData", "TSYS", "Worldpay", "Fiserv", "Elavon")
 
 # Status words.
 STATUSES = {
@@ -27,7 +26,6 @@ STATUSES = {
 FAILED_STATUSES = ("failed", "declined", "rejected", "error", "timeout")
 SUSPICIOUS_STATUSES = ("failed", "declined")
 STATUS_WHEN_ABSENT = "unknown"
-CARD_TYPES = ("visa", "mastercard", "amex", "discover")
 
 # Reconciliation.
 AMOUNT_TOLERANCE = 0.01
@@ -64,8 +62,7 @@ LINE_INVALID = "Invalid transaction format: %s"
 LINE_MISSING = "Missing required fields in transaction: %s"
 LINE_ERROR = "Error processing: %s"
 
-# Look-back windows of the two batch jobs, and the landing flush size.
+# Look-back windows of the two batch jobs, and the trigger of streams.
 RECONCILE_HOURS = 6
 FEATURE_DAYS = 7
-LANDING_FLUSH = 100
 STREAM_TRIGGER = "5 seconds"

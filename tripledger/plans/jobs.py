@@ -13,7 +13,7 @@ from tripledger.functions import alerts, messages
 from tripledger.operators import features as user
 from tripledger.operators import reconcile as recon
 from tripledger.operators import rules
-from tripledger.settings import Settings
+from tripledger.settings import STREAM_CONF, Settings
 from tripledger.sources import kafka, paths, raw, tables
 from tripledger.sources.scratch import materialize
 from tripledger.streaming import landing
@@ -115,6 +115,8 @@ def fraud_job(
 ):
     """Fraud rules over Kafka topics, alerts to the alert topic; returns the running query."""
     settings = settings or Settings()
+    for name, value in STREAM_CONF.items():  # users are remembered outside the heap
+        spark.conf.set(name, value)
     options = kafka.source_options(
         settings.kafka_servers, topics, starting=starting, group_prefix="fraud", max_per_trigger=max_per_trigger
     )
