@@ -12,9 +12,9 @@ from tripledger.operators import features
 from tripledger.sources import raw
 
 SAMPLE = [
-    ("txn-12345", "user-123", 1747396000000, 129.99, "completed", "New York", "visa", "192.168.1.1", "device-abc"),
-    ("txn-12346", "user-123", 1747396100000, 49.99, "completed", "New York", "visa", "192.168.1.1", "device-abc"),
-    ("txn-12347", "user-456", 1747396200000, 199.99, "failed", "Chicago", "mastercard", "192.168.2.2", "device-def"),
+    ("pay-a", "ana", 1704106800000, 31.25, "completed", "Lisbon", "visa", "10.0.0.7", "phone"),
+    ("pay-b", "ana", 1704107100000, 8.4, "completed", "Lisbon", "visa", "10.0.0.7", "phone"),
+    ("pay-c", "ben", 1704107400000, 77.0, "failed", "Oslo", "amex", "10.0.0.9", "tablet"),
 ]
 SCHEMA = (
     "transaction_id string, user_id string, timestamp long, amount double, status string, location string, "
@@ -25,14 +25,14 @@ SCHEMA = (
 def test_sample(spark):
     rows = features.user_features(raw.with_event_time(spark.createDataFrame(SAMPLE, SCHEMA))).collect()
     by = {r["user_id"]: r for r in rows}
-    one, other = by["user-123"], by["user-456"]
+    one, other = by["ana"], by["ben"]
     assert [one[c] for c in features.DIVERSITY] == [1, 1, 1, 1]
     assert one["failed_txn_ratio"] == 0 and one["max_txn_count_hourly"] == 2
     assert math.isclose(one["risk_score"], 1.3)
     assert other["failed_txn_ratio"] == 1 and other["stddev_txn_amount"] is None
     assert math.isclose(other["risk_score"], 5.8)
     assert [r["user_id"] for r in features.high_risk(features.user_features(
-        raw.with_event_time(spark.createDataFrame(SAMPLE, SCHEMA)))).collect()] == ["user-456"]
+        raw.with_event_time(spark.createDataFrame(SAMPLE, SCHEMA)))).collect()] == ["ben"]
 
 
 def random_rows():
