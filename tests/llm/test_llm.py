@@ -249,16 +249,33 @@ def test_merge_dropout_is_lossless(docs, none, rows):
     assert merge_dropout.encode(none, path).count() == 0
 
 
-def test_merges_without_dropout_and_with():
+def test_merges_without_dropout_and_with(monkeypatch):
     from sentencepiece import SentencePieceProcessor
 
     path = vocabulary("piece_bpe_32k.model")
     own, model = merge_dropout.Vocabulary(path), SentencePieceProcessor(model_file=path)
     for text in ("the theory of information", "a  b   c", "über façade naïve", "tokens, 12345!"):
-        assert own.encode(" " + text, 1, 17, 0.0).tolist() == model.encode(text)
+        assert next(own.encode([" " + text], [1], 17, 0.0))[0].tolist() == model.encode(text)
     own = merge_dropout.Vocabulary(path)
-    a, b = (own.encode("information theory " * 50, d, 17, 0.3).tolist() for d in (1, 2))
-    assert a != b and own.encode("information theory " * 50, 1, 17, 0.3).tolist() == a
+    a, b = (x.tolist() for x in next(own.encode(["information theory " * 50] * 2, [1, 2], 17, 0.3)))
+    monkeypatch.setattr(merge_dropout, "GROUP", 10)
+    groups = list(own.encode(["information theory " * 50, None, "a"], [1, 1, 1], 17, 0.3))
+    assert a != b and groups[0][0].tolist() == a and groups[1][0] is None
+
+
+def test_words_side_by_side_as_by_the_agenda(monkeypatch):
+    path = vocabulary("piece_bpe_32k.model")
+    rng = np.random.default_rng(3)
+    letters = list("aeinorstlé▁日🙂%$1 ")
+    words = ["".join(rng.choice(letters, int(n))) for n in rng.integers(1, 40, 400)] + [" information", "ing" * 50]
+    pairs = [(w, int(v)) for w in words for v in (0, 1, 3)]
+    own = merge_dropout.Vocabulary(path)
+    for dropout in (0.0, 0.1, 0.6, 1.0):
+        got = own.segment_all(pairs, 17, dropout)
+        monkeypatch.setattr(merge_dropout, "SIDE_BY_SIDE", 0)
+        assert got == own.segment_all(pairs, 17, dropout)
+        monkeypatch.undo()
+        assert all(own.decode(np.frombuffer(x, np.int32)) == w for x, (w, _) in zip(got, pairs))
 
 
 def test_surrogates_are_distinct_and_consistent(spark, none):
