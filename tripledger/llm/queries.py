@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripledger.llm import (
     decontam, kneser_ney, line_dedup, merge_dropout, outliers, rans, shards, simhash, surrogates, toxicity,
+    word_bpe,
 )
 from tripledger.llm.common import documents
 from tripledger.sources.scratch import fresh_path
@@ -92,6 +93,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "p_low_quality", "p_toxic", F.col("is_toxic").alias("toxic"))
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")
+    out = word_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path)
+    return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      word_bpe.digest(F.col("ids")).alias("ids_sha256"),
+                      F.sha2(word_bpe.decoder(path)(F.col("ids")), 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash, op3_kneser_ney, op4_surrogates, op5_sharding, op6_merge_dropout,
-    op7_outliers, op8_decontamination, op9_rans, op10_toxicity)}
+    op7_outliers, op8_decontamination, op9_rans, op10_toxicity, op11_word_bpe)}
