@@ -23,7 +23,7 @@ con = duck(sf_dir)
 oracle = entry.oracle_sql()
 bad = 0
 for name, query in entry.queries().items():
-    if only and name not in only:
+    if name not in oracle or only and name not in only:
         continue
     start = time.time()
     try:
