@@ -5,7 +5,7 @@ by the vocabulary's pattern into words. Of a short word the part boundaries and
 adjacent parts lie in two short lists; the least rank is looked up by a scan, its inner boundary
 is deleted, and the ranks to both sides are looked up again. A long word would make those scans
 quadratic; its parts are linked and its ranks kept in a heap, with the same merges in the same
-order (least rank first, leftmost first).
+order (least rank first, leftmost first). A worker remembers a bounded number of words.
 
 Null and empty texts have no tokens; a text of any length is encoded whole. Every input row gives
 one output row, so repeated rows and ties need no rule. All input columns ride along in one
@@ -17,8 +17,8 @@ from __future__ import annotations
 import json
 import unicodedata
 from array import array
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
+from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -26,16 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.llm.common import packed
-
 #: Words up to this many bytes use the rank array.
 SHORT = 160
 #: Chunks and words a worker remembers, each; a full memory is emptied and fills again.
-REMEMBERED = 350_000
+REMEMBERED = 250_000
 #: Longer chunks are not remembered.
 MEMORABLE = 48
 #: Tokens after which an Arrow batch is sent on.
-TOKENS = 1_000_000
+TOKENS = 500_000
 
 _NONE = 1 << 30
 #: Control characters that part words for Python, but not for the vocabulary's pattern.
@@ -57,7 +55,6 @@ class WordBpe:
 
     def __init__(self, path: str):
         import regex
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -92,13 +89,19 @@ class WordBpe:
         self.words = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")).findall
         self.chunks = regex.compile(r"\P{White_Space}+").findall
         self.added = {t: array("i", [i]).tobytes() for t, i in added.items()}
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         self.byte_of = {c: b for b, c in enumerate(byte_letters())}.__getitem__
         self.cut_added = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")").split
         self.mark = min(added, key=len)[0] if added else None
         self.known_words: dict[str, bytes] = {}
         self.known_chunks: dict[str, bytes] = {}
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def merge_short(self, ids: list[int]) -> list[int]:
         """All merges of one word, by scanning its ranks."""
         rank_of, merged = self.rank_of.get, self.merged
@@ -163,6 +166,7 @@ class WordBpe:
         if any(unicodedata.category(c) == "Cn" for c in plain):
             # Characters newer than this Python: the tokenizer's own tables decide how they part words.
             words = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(piece))
+            # Each byte of a word is one letter here.
             return b"".join([self.word(bytes(map(self.byte_of, w)).decode()) for w, _ in words])
         return b"".join([self.word(w) for w in self.words(plain)])
 
@@ -203,23 +207,31 @@ def _lists(rows: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """`row`, `ids`: the token ids of every text, added tokens in a text included."""
+def encode(docs: DataFrame, path: str, *, keep: Sequence[str] | None = None, decoded: bool = False) -> DataFrame:
+    """`row`, `ids`: the token ids of every text, added tokens in a text included.
+
+    `keep` names the columns that ride along in `row` (all, if none are named); `decoded` adds the
+    text that the ids decode to.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = codec(path).encode
+        own = codec(path)
         for batch in batches:
             first, size, out = 0, 0, []
             for i, text in enumerate(batch.column("text")):
-                out.append(of(text.as_py() or ""))
+                out.append(own.encode(text.as_py() or ""))
                 size += len(out[-1]) // 4
                 if size >= TOKENS or i == batch.num_rows - 1:
-                    part = batch.column("row").slice(first, len(out))
-                    yield pa.RecordBatch.from_arrays([part, _lists(out)], ["row", "ids"])
+                    part = [batch.column("row").slice(first, len(out)), _lists(out)]
+                    if decoded:
+                        part.append(pa.array([own.decode(np.frombuffer(x, np.int32)) for x in out], pa.string()))
+                    yield pa.RecordBatch.from_arrays(part, schema.names)
                     first, size, out = i + 1, 0, []
 
-    whole = packed(docs, text=F.col("text"))
-    schema = whole.select("row", F.lit(None).cast("array<int>").alias("ids")).schema
+    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
+    whole = docs.select(row.alias("row"), F.col("text").alias("text"))
+    added = {"ids": "array<int>", **({"decoded": "string"} if decoded else {})}
+    schema = whole.select("row", *[F.lit(None).cast(t).alias(n) for n, t in added.items()]).schema
     return whole.mapInArrow(run, schema)
 
 
