@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.llm import (
-    decontam, kneser_ney, line_dedup, merge_dropout, outliers, rans, shards, simhash, surrogates, toxicity,
-    word_bpe,
+    decontam, kneser_ney, lexical, line_dedup, merge_dropout, outliers, rans, shards, simhash, surrogates, toxicity,
+    whitening, word_bpe,
 )
 from tripledger.llm.common import documents
 from tripledger.sources.scratch import fresh_path
@@ -94,13 +94,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary("word_bpe_49k.json")
-    out = word_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path)
+    out = word_bpe.encode(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), keep=["doc_id"], decoded=True)
     return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                      word_bpe.digest(F.col("ids")).alias("ids_sha256"),
-                      F.sha2(word_bpe.decoder(path)(F.col("ids")), 256).alias("decoded_sha256"))
+                      word_bpe.digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical.search(documents(spark, sf_dir).select("doc_id", "text"), items, k=10)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    model = whitening.fit(vectors, "embedding", components=16)
+    if model is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, "
+                                         "explained double, identity_error double")
+    out = whitening.transform(vectors, "embedding", model).select(
+        "row.vec_id", F.expr("try_cast(deviation AS long)").alias("deviation"), F.posexplode("whitened").alias("c", "whitened"))
+    explained = F.array(*map(F.lit, model.explained))
+    return out.select("vec_id", (F.col("c") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation",
+                      "whitened", explained[F.col("c")].alias("explained"),
+                      F.lit(model.identity_error).alias("identity_error"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash, op3_kneser_ney, op4_surrogates, op5_sharding, op6_merge_dropout,
-    op7_outliers, op8_decontamination, op9_rans, op10_toxicity, op11_word_bpe)}
+    op7_outliers, op8_decontamination, op9_rans, op10_toxicity, op11_word_bpe,
+    op12_lexical_search, op13_whitening)}
