@@ -423,6 +423,24 @@ ORACLES = {
     "upsert_features": _upserted_features(),
     "upsert_reconciled": _upserted_report(),
     "upsert_reconciled_bank_key": _upserted_bank_key_report(),
+    "upsert_indexed": _with(
+        """select transaction_id, user_id, amount, if(amount > 400, 'settled', status) as status,
+        cast(event_time as date) + if(amount > 400, 3, 0) as event_date,
+        if(amount > 400, timestamp '2024-02-02', timestamp '2024-02-01') as stored_at from payments
+        union all select transaction_id || '-2', user_id, amount, status, cast(event_time as date),
+        timestamp '2024-02-02' from payments where amount < 5""",
+        "payments",
+    ),
+    "upsert_snapshot": _with(
+        """select version, status, count(*) as txn_count, count(distinct transaction_id) as ids,
+        cast(sum(cast(amount as decimal(18,2))) as double) as amount from (
+        select 1 as version, transaction_id, status, amount from payments
+        union all select 2, transaction_id, if(amount > 400, 'quick', status), amount from payments
+        union all select v, transaction_id, if(amount > 300, 'slow', status), amount from payments, (values (3), (4)) as w(v)
+        union all select 4, transaction_id || '-2', status, amount from payments where amount < 5)
+        group by version, status""",
+        "payments",
+    ),
     "stream_source": _with(
         f"select 'bank_transactions' as topic, {_SHAPE} as shape, {_CLASS} as row_class, {_PARSED_USER} as user_id, "
         f"{_PARSED_AMOUNT} as amount from payments",

@@ -16,7 +16,7 @@ from tripledger.functions import alerts, messages
 from tripledger.operators import burst, channels, features, reconcile, rules, skew, upsert
 from tripledger.plans import views
 from tripledger.schema import FIELDS
-from tripledger.sources import paths, raw, tables
+from tripledger.sources import indexed, paths, raw, tables
 from tripledger.sources.scratch import fresh_path
 from tripledger.streaming import landing, ledger, sinks, sources
 from tripledger.streaming.bursts import burst_stream
@@ -363,6 +363,49 @@ def upsert_reconciled_bank_key(spark, sf_dir):
     )
 
 
+def _dated(spark, sf_dir):
+    rows = views.payments(spark, sf_dir).withColumn("updated_at", F.lit(FIRST_RUN))
+    return rows.select("transaction_id", "user_id", "amount", "status", "updated_at",
+                       F.to_date("event_time").alias("event_date"))
+
+
+def _indexed_table(spark, label, rows):
+    return indexed.create(spark, fresh_path(spark, label), rows.schema, ["transaction_id"], "event_date",
+                          buckets=2, slots=16)
+
+
+def upsert_indexed(spark, sf_dir):
+    """All payments by day; then, twice, the large ones settled on a later day and some new ones."""
+    rows = _dated(spark, sf_dir)
+    table = _indexed_table(spark, "indexed", rows)
+    later = rows.withColumn("updated_at", F.lit(SECOND_RUN))
+    moved = later.filter(F.col("amount") > 400).withColumns(
+        {"event_date": F.date_add("event_date", 3), "status": F.lit("settled")})
+    new = later.filter(F.col("amount") < 5).withColumn("transaction_id", F.concat("transaction_id", F.lit("-2")))
+    batch = moved.unionByName(new)
+    for part in (rows, batch, batch):
+        table.upsert(part, "updated_at")
+    return _ntz(table.read(), "updated_at", "stored_at").select(
+        "transaction_id", "user_id", "amount", "status", "event_date", "stored_at")
+
+
+def upsert_snapshot(spark, sf_dir):
+    """Three writers start from one version; the table as each version of it shows it."""
+    rows = _dated(spark, sf_dir)
+    table = _indexed_table(spark, "snapshots", rows)
+    table.upsert(rows, "updated_at")
+    slow = table.prepare(rows.filter(F.col("amount") > 300).withColumn("status", F.lit("slow")), "updated_at")
+    apart = table.prepare(
+        rows.filter(F.col("amount") < 5).withColumn("transaction_id", F.concat("transaction_id", F.lit("-2"))), "updated_at")
+    table.upsert(rows.filter(F.col("amount") > 400).withColumn("status", F.lit("quick")), "updated_at")
+    table.commit(slow)
+    table.commit(apart)
+    seen = [table.read(v).withColumn("version", F.lit(v)) for v in table.versions()]
+    return raw.union_all(seen).groupBy("version", "status").agg(
+        F.count(F.lit(1)).alias("txn_count"), F.count_distinct("transaction_id").alias("ids"),
+        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"))
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -493,6 +536,7 @@ QUERIES = {
         txn_parse, txn_validate, fraud_rules, fraud_rules_fine_amounts, fraud_rules_hot_users, fraud_alert_text,
         fraud_text_sample, fraud_alert_payload, burst_detect, burst_detect_hot_users,
         dedupe_latest, upsert_features, upsert_reconciled, upsert_reconciled_bank_key,
+        upsert_indexed, upsert_snapshot,
         stream_source, stream_union, land_topics, stream_fraud_rules, stream_burst, stream_restart,
         stream_fraud_ledger,
     )
