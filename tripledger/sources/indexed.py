@@ -58,7 +58,7 @@ class Options:
 
 @dataclass(frozen=True)
 class Change:
-    """A computed upsert that is not committed yet."""
+    """A computed upsert that is not committed yet; `opened` names the files whose keys it read."""
 
     commit: str
     base: int
@@ -66,8 +66,7 @@ class Change:
     order_by: tuple[str, ...]
     schema: T.StructType
     removed: tuple[str, ...]
-    opened: int
-    live: int
+    opened: tuple[str, ...]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -249,7 +248,7 @@ class IndexedTable:
         rows = _widened(rows, _merged(schema, rows.schema))
         commit = uuid.uuid4().hex
         self._write(rows, commit, options)
-        return Change(commit, head, fresh, order, rows.schema, tuple(removed), len(opened), live.count())
+        return Change(commit, head, fresh, order, rows.schema, tuple(removed), tuple(opened))
 
     def _filled(self, fresh: DataFrame, stored: DataFrame, keys: list[str], order: tuple[str, ...]) -> DataFrame:
         """`fresh` with what the table holds in columns that `fresh` has not."""
