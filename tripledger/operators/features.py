@@ -1,6 +1,7 @@
 """Per-user fraud features.
 
-Time features come from a two-step aggregation: rows fold into one row per user and hour
+All features of exact counts come from one scan that folds payments (`operators.partials`). The
+parts alone, and sketched counts, come from two-step aggregations: rows fold into one row per user and hour
 (map-side, so a user with very many rows costs no more than the hours it spans), and only
 those rows are then gathered by user. Distinct counts fold to one row per user and value
 before they are counted. No step sorts rows or holds one user's transactions in a task.
@@ -16,15 +17,10 @@ from pyspark.sql import functions as F
 from tripledger import fixed_values as fv
 from tripledger.functions import money
 from tripledger.functions.scores import percentage, risk_score
+from tripledger.operators import partials
+from tripledger.operators.partials import DIVERSITY, PERIODS
+from tripledger.operators.partials import slots as _slots
 
-PERIODS = ("hourly", "daily", "weekly")
-GRAINS = ("clock", "bucket")
-DIVERSITY = {
-    "location_count": "location",
-    "device_count": "device_id",
-    "ip_count": "ip_address",
-    "card_type_count": "card_type",
-}
 
 
 def user_features(
@@ -42,6 +38,8 @@ def user_features(
     counts distinct values with sketches. `exact_amounts=False` adds amounts as doubles, which
     is quicker, but a task that runs again may change the last digits.
     """
+    if distinct == "exact":  # one scan
+        return partials.merge(partials.fold(txns, exact_amounts=exact_amounts), grain=grain, as_of=as_of)
     volume = user_volume(txns, grain=grain, exact_amounts=exact_amounts)
     profile = user_profile(txns, distinct=distinct, exact_amounts=exact_amounts)
     merged = _merge_users(volume, profile)
@@ -179,17 +177,6 @@ def _per_user_hour(txns: DataFrame, exact_amounts: bool = True) -> DataFrame:
     )
 
 
-def _slots(grain: str) -> tuple[Column, Column, Column]:
-    """Hour, day and week of a folded row, as numbers."""
-    if grain not in GRAINS:
-        raise ValueError(f"grain is one of {GRAINS}")
-    day = F.unix_date("day").cast("long")
-    if grain == "clock":
-        return F.col("hour").cast("long"), day, F.weekofyear("day").cast("long")
-    week = F.unix_date(F.to_date(F.date_trunc("week", F.col("day")))).cast("long")
-    return day * 24 + F.col("hour"), day, week
-
-
 def _amount_parts(exact_amounts: bool = True) -> list[Column]:
     fine, coarse = money.parts("amount", exact_amounts)
     cents = money.whole_cents("amount")

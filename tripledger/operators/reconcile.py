@@ -54,7 +54,7 @@ def reconcile(
         matched = _match_skewed(frames, key_mode, skew, rows_per_salt)
     else:
         raise ValueError("dedupe is None or 'latest'")
-    return _judge(matched, CHANNELS, tolerance, exact, as_of)
+    return judge(matched, CHANNELS, tolerance, exact, as_of)
 
 
 def compare_two(
@@ -71,7 +71,7 @@ def compare_two(
     """The same report for two channels."""
     frames = dict(zip(channels, (left, right)))
     matched = _match_skewed(frames, "coalesced", skew, rows_per_salt)
-    return _judge(matched, channels, tolerance, exact, as_of)
+    return judge(matched, channels, tolerance, exact, as_of)
 
 
 def summarize(report: DataFrame) -> DataFrame:
@@ -287,7 +287,7 @@ def _part_without_bank(matched: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- judging
 
 
-def _judge(
+def judge(
     matched: DataFrame, channels, tolerance: float, exact: bool, as_of: datetime | None
 ) -> DataFrame:
     def first_known(name):

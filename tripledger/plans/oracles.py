@@ -458,3 +458,11 @@ ORACLES = {
     "stream_restart": _rules(f"select {_RULE_COLUMNS}"),
     "stream_fraud_ledger": _rules(f"select {_RULE_COLUMNS}"),
 }
+
+# Other ways to the same rows.
+ORACLES |= {
+    "user_features_incremental": ORACLES["user_features"],
+    "stream_fraud_rules_ordered": ORACLES["fraud_rules"],
+    "stream_burst_exact": ORACLES["burst_detect"],
+    "stream_reconcile": ORACLES["recon_detail"],
+}

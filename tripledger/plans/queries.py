@@ -6,6 +6,7 @@ folder first, then read, merge or stream them from there.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +14,16 @@ from pyspark.sql import functions as F
 
 from tripledger import fixed_values as fv
 from tripledger.functions import alerts, messages
-from tripledger.operators import burst, channels, features, reconcile, rules, skew, upsert
+from tripledger.operators import burst, channels, features, partials, reconcile, rules, skew, upsert
 from tripledger.plans import views
 from tripledger.schema import FIELDS
-from tripledger.sources import indexed, paths, raw, tables
+from tripledger.settings import STREAM_CONF
+from tripledger.sources import folds, indexed, paths, raw, tables
 from tripledger.sources.scratch import fresh_path
 from tripledger.streaming import landing, ledger, sinks, sources
 from tripledger.streaming.bursts import burst_stream
+from tripledger.streaming.matching import reconcile_stream
+from tripledger.streaming.ordered import burst_ordered, fraud_rules_ordered
 from tripledger.streaming.rules import fraud_rules_stream
 
 START, END = datetime(2024, 1, 8), datetime(2024, 1, 15)
@@ -185,6 +189,18 @@ def user_features(spark, sf_dir):
     return _features(spark, sf_dir).drop("feature_extraction_time")
 
 
+def user_features_incremental(spark, sf_dir):
+    """Days folded as they come, one of them twice because a half of it came late; then merged."""
+    path = fresh_path(spark, "folded-days")
+    source = views.payments(spark, sf_dir)
+    day, cut = F.to_date("event_time"), F.lit(START.date())
+    folds.write_days(source.filter(day < cut), path)
+    folds.write_days(source.filter((day == cut) & (F.hour("event_time") < 12)), path)
+    folds.write_days(source.filter(day >= cut), path)
+    merged = partials.merge(folds.read_days(spark, path), as_of=FIRST_RUN)
+    return merged.drop("feature_extraction_time")
+
+
 def user_features_volume(spark, sf_dir):
     return features.user_volume(views.payments(spark, sf_dir))
 
@@ -522,6 +538,66 @@ def stream_fraud_ledger(spark, sf_dir):
     return ledger.read_judged(spark, f"{out}/ledger").select(*RULES)
 
 
+@contextmanager
+def _state_outside_heap(spark):
+    """The state store that keyed state with lists and timers needs, for the queries started inside."""
+    before = {name: spark.conf.get(name) for name in STREAM_CONF}
+    for name, value in STREAM_CONF.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _closing(rows: DataFrame) -> DataFrame:
+    """One row years after all others. It only moves the watermark: nothing ever passes it."""
+    last = rows.agg((F.max("event_time") + F.expr("interval 10 years")).alias("event_time"))
+    return last.select(*[
+        F.col(f.name) if f.name == "event_time" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+
+
+def _shuffled(spark, sf_dir, make) -> DataFrame:
+    """Output of the stream `make(payments)`, run and restarted while payments arrive in any order."""
+    source = views.payments(spark, sf_dir).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    out, folder = fresh_path(spark, "shuffled"), fresh_path(spark, "arrivals")
+    turn = F.pmod(F.xxhash64("transaction_id"), F.lit(2))
+    with _state_outside_heap(spark):
+        for part in (source.filter(turn == 0), source.filter(turn == 1), _closing(source)):
+            part.write.mode("append").parquet(folder)
+            stream = make(sources.file_rows(spark, folder, source.schema))
+            _run(sinks.to_parquet(stream, f"{out}/rows", f"{out}/checkpoint", trigger=sinks.AVAILABLE_NOW))
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+def stream_fraud_rules_ordered(spark, sf_dir):
+    """The rules in event-time order though half of all payments come after later ones."""
+    return _shuffled(spark, sf_dir, lambda s: fraud_rules_ordered(s, lateness="1000 days")).select(*RULES)
+
+
+def stream_burst_exact(spark, sf_dir):
+    found = _shuffled(spark, sf_dir, lambda s: burst_ordered(s, lateness="1000 days", **BURST))
+    return found.select("transaction_id", "user_id", "burst_count", "is_burst")
+
+
+def stream_reconcile(spark, sf_dir):
+    """Three channel streams matched continuously; the processor's payments come last."""
+    frames = {c: f.withColumn("event_time", F.col("event_time").cast("timestamp"))
+              for c, f in views.channels(spark, sf_dir).items()}
+    out, folder = fresh_path(spark, "matched"), fresh_path(spark, "channel-arrivals")
+    schema = frames["bank"].schema
+    for step in ({c: frames[c] for c in ("bank", "gateway")}, {"processor": frames["processor"]},
+                 {"bank": _closing(frames["bank"])}):
+        for c in frames:
+            rows = step.get(c, frames[c].limit(0))
+            rows.write.mode("append").parquet(f"{folder}/{c}")
+        stream = reconcile_stream(
+            **{c: sources.file_rows(spark, f"{folder}/{c}", schema) for c in frames}, lateness="1000 days", as_of=FIRST_RUN)
+        _run(sinks.to_parquet(stream, f"{out}/rows", f"{out}/checkpoint", trigger=sinks.AVAILABLE_NOW))
+    return _ntz(spark.read.schema(stream.schema).parquet(f"{out}/rows")).select(*REPORT)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -530,7 +606,7 @@ QUERIES = {
         recon_detail, recon_detail_bank_key, recon_detail_exact, recon_two_way, recon_amount_checks,
         recon_status_checks, recon_summary, recon_result_payload, recon_duplicates, recon_hot_ids,
         recon_latest,
-        user_features, user_features_volume, user_features_volume_bucketed,
+        user_features, user_features_incremental, user_features_volume, user_features_volume_bucketed,
         user_features_week_collision, user_features_amount, user_features_diversity,
         user_features_failed, user_features_windowed, risk_score, high_risk_users, feature_summary,
         txn_parse, txn_validate, fraud_rules, fraud_rules_fine_amounts, fraud_rules_hot_users, fraud_alert_text,
@@ -538,6 +614,6 @@ QUERIES = {
         dedupe_latest, upsert_features, upsert_reconciled, upsert_reconciled_bank_key,
         upsert_indexed, upsert_snapshot,
         stream_source, stream_union, land_topics, stream_fraud_rules, stream_burst, stream_restart,
-        stream_fraud_ledger,
+        stream_fraud_ledger, stream_fraud_rules_ordered, stream_burst_exact, stream_reconcile,
     )
 }
