@@ -50,6 +50,19 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printable else next(spare)) for b in range(256)]
 
 
+def _is_word_bpe(spec: dict) -> bool:
+    """Whether a tokenizer file has the parts that this module knows, and no others."""
+    model, (split, to_bytes) = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
+    return (
+        model["type"] == "BPE" and not model.get("unk_token") and not model.get("continuing_subword_prefix")
+        and [n["type"] for n in spec["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
+        and split["type"] == "Split" and split["invert"] and split["behavior"] == "Removed"
+        and to_bytes["type"] == "ByteLevel" and not to_bytes["use_regex"] and not to_bytes["add_prefix_space"]
+        and spec.get("decoder") is None
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
+    )
+
+
 class WordBpe:
     """Encodes and decodes with a tokenizer file of this kind; files of another kind are an error."""
 
@@ -59,17 +72,13 @@ class WordBpe:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
-        split, to_bytes = spec["pre_tokenizer"]["pretokenizers"]
-        known = (
-            model["type"] == "BPE" and not model.get("unk_token") and not model.get("continuing_subword_prefix")
-            and [n["type"] for n in spec["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
-            and split["type"] == "Split" and split["invert"] and split["behavior"] == "Removed"
-            and to_bytes["type"] == "ByteLevel" and not to_bytes["use_regex"] and not to_bytes["add_prefix_space"]
-            and spec.get("decoder") is None
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
-        )
+        try:
+            known = _is_word_bpe(spec)
+        except (KeyError, TypeError, ValueError):
+            known = False
         if not known:
             raise ValueError("not a lower-case word BPE file")
+        split = spec["pre_tokenizer"]["pretokenizers"][0]
         vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.inner = [vocab[c] for c in byte_letters()]
