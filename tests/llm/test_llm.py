@@ -33,7 +33,7 @@ def rows():
     texts += [prose(rng, 12) + "\n" + passage + "\n" + prose(rng, 15) for _ in range(6)]
     texts += [prose(rng, 20) + " " + BENCH + " " + prose(rng, 20),
               prose(rng, 20) + " " + BENCH.replace("eta ", "XX, ") + " " + prose(rng, 20)]
-    texts += ["", None, " ", "\n\n", "one", "a\tb\x0bc", "é ▁ 日本 🙂\0x", "x  y \n z", prose(rng, 6000), "*** " * 40]
+    texts += ["", None, " ", "\n\n", "one", "a\tb\x0bc", "é ▁ 日本 🙂\0x", "x  y \n z", prose(rng, 6000), "*** " * 40, "a <|endoftext|> b"]
     out = [(i, t, ["en", "fr", None][i % 3], "hot" if i % 2 else None, i, "s", "k", 1) for i, t in enumerate(texts)]
     return out + [out[3], out[3], (None, texts[4], "en", "hot", 1, "s", "k", 1)]
 
@@ -80,7 +80,6 @@ def test_tokens_round_trip(spark, docs, none, rows, tmp_path):
 
     path = vocabulary("byte_bpe_50k.json")
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     rans.write_tokens(docs, str(tmp_path / "t"), path)
     got = rans.read_tokens(spark, str(tmp_path / "t")).orderBy("start").collect()
     start = 0

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
+from string import punctuation
 
 import numpy as np
 
-#: Words remembered per worker; later words are encoded anew each time.
-REMEMBERED = 700_000
+from tripledger.llm.word_bpe import byte_letters
+
+#: Pieces a worker remembers before it forgets all but the first ones.
+REMEMBERED, KEPT = 700_000, 350_000
 #: Characters of text whose new words are encoded together.
 GROUP = 4_000_000
 
@@ -26,16 +31,19 @@ def _odd(text: str) -> bool:
 class WordMemory:
     """Encodes whole texts with a byte-level BPE tokenizer, each frequent word once.
 
-    The tokenizer's own first step cuts a text before every space that a word follows, and
-    around a line feed between two words, so such pieces can be encoded alone. Texts with any
-    other white space go to the tokenizer as they are.
+    The tokenizer's own first step cuts a text before every space that a word follows, around a
+    line feed between two words, and between a letter or number and punctuation, so such pieces
+    can be encoded alone: words of letters only by the tokenizer's merges, others by all its steps.
+    Texts with any other white space, or with an added token, go to the tokenizer as they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenize = self.tokenizer.model.tokenize
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = byte_letters()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.known: dict[str, bytes] = {"\n": np.array([self.line_feed], self.dtype).tobytes()}
@@ -44,7 +52,32 @@ class WordMemory:
         batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in batch]
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+    def _learn(self, pieces: list[str]) -> None:
+        """Remembers pieces without line feeds, after those that they are made of."""
+        made = []
+        for piece in pieces:
+            core = piece.rstrip(punctuation)
+            if core != piece and core and core[-1].isalnum():
+                made.append((piece, core, piece[len(core):]))
+        cut = {piece for piece, _, _ in made}
+        parts = dict.fromkeys(x for _, *both in made for x in both)
+        rest = []
+        for piece in [*parts, *(p for p in pieces if p not in cut)]:
+            if piece in self.known:
+                continue
+            word = piece[1:] if piece[0:1] == " " else piece
+            if word.isalpha():
+                whole = (piece.replace(" ", self.letters[32]) if piece.isascii()
+                         else "".join([self.letters[b] for b in piece.encode()]))
+                self.known[piece] = array(self.dtype.char, [t.id for t in self.tokenize(whole)]).tobytes()
+            else:
+                rest.append(piece)
+        if rest:
+            self.known.update(self._encode_lines(rest))
+        for piece, core, tail in made:
+            self.known[piece] = self.known[core] + self.known[tail]
+
+    def _encode_lines(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces without line feeds: encoded as the lines of one text, cut at line feeds."""
         ids = np.array(self.tokenizer.encode_batch_fast(
             ["\n".join(pieces)], add_special_tokens=False)[0].ids, self.dtype)
@@ -60,7 +93,7 @@ class WordMemory:
         """Ids of whole texts; words that are new to this worker are encoded together."""
         known, parts, new = self.known, [], set()
         for text in texts:
-            if _odd(text):
+            if _odd(text) or any(t in text for t in self.added):
                 parts.append(None)
                 continue
             lines = text.split("\n")
@@ -70,16 +103,13 @@ class WordMemory:
                 pieces += line.replace(" ", "\0 ").split("\0")
             parts.append(pieces)
             new.update(pieces)
-        new = [p for p in new if p not in known]
-        fresh = self._learn(new) if new else {}
-        room = len(known) < REMEMBERED
-        known.update(fresh)
+        if len(known) > REMEMBERED:
+            # Forget what came last: the first words met are the most frequent ones.
+            for piece in list(islice(reversed(known), len(known) - KEPT)):
+                del known[piece]
+        self._learn([p for p in new if p not in known])
         of = known.__getitem__
-        out = [self.plain([t])[0] if p is None else b"".join(map(of, p)) for t, p in zip(texts, parts)]
-        if not room:
-            for p in new:
-                del known[p]
-        return out
+        return [self.plain([t])[0] if p is None else b"".join(map(of, p)) for t, p in zip(texts, parts)]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of whole texts, in groups of about `GROUP` characters."""
