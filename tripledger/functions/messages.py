@@ -36,7 +36,8 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Adds the parsed fields and `shape`: 'json', 'text', 'error' or 'invalid'.
 
     'error' is JSON that is not an object (or no message at all), 'invalid' is neither JSON
-    nor the text format. A status that is absent or null reads 'unknown'.
+    nor the text format. A status that is absent or null reads 'unknown'. `timestamp_text` is
+    what the message holds as its time, whether or not it is one.
     """
     raw = F.col(value)
     # Only what may be an object goes to the JSON parser: failing it is slow.
@@ -66,6 +67,7 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
         "transaction_id": field("transaction_id"),
         "user_id": field("user_id", 1),
         "event_time": event_time(field("timestamp").try_cast("bigint")),
+        "timestamp_text": field("timestamp"),
         "amount_text": field("amount", 2),
         "status": F.when(
             is_json | is_text, F.coalesce(field("status"), F.lit(fv.STATUS_WHEN_ABSENT))

@@ -459,10 +459,46 @@ ORACLES = {
     "stream_fraud_ledger": _rules(f"select {_RULE_COLUMNS}"),
 }
 
+def _drift() -> str:
+    """Counted from the payments' columns, without a look into any message."""
+    fine = "not (event_type = 'error' and amount < 200)"
+    always = [("transaction_id", "known", "'string'"), ("user_id", "known", "'string'"), ("timestamp", "known", "'integer'"),
+              ("source", "known", "'string'"), ("merchant", "known", "'string'")]
+    cases = [(f, k, t, fine) for f, k, t in always] + [
+        ("amount", "retyped", "'string'", "event_type = 'view'"), ("amount", "empty", "'null'", "event_type = 'click'"),
+        ("amount", "known", "'number'", f"event_type not in ('view', 'click') and {fine}"),
+        ("status", "absent", "null", "event_type = 'signup'"), ("status", "known", "'string'", f"event_type <> 'signup' and {fine}"),
+        ("card_type", "retyped", "'object'", f"event_type = 'error' and {fine}"), ("card_type", "known", "'string'", "event_type <> 'error'"),
+        ("location", "known", "'null'", f"amount < 50 and {fine}"), ("location", "known", "'string'", f"amount >= 50 and {fine}"),
+        ("channel", "unknown", "'array'", "event_type = 'purchase'"), ("retry", "unknown", "'boolean'", "event_type = 'purchase'"),
+        (None, "unreadable", "null", f"not ({fine})")]
+    rows = " union all ".join(
+        f"select topic, event_date, {repr(f) if f else 'null'} as field, '{k}' as kind, {t} as type, count(*) as messages "
+        f"from sent where {where} group by topic, event_date" for f, k, t, where in cases)
+    return f"""{_with('', 'payments').rstrip()}, sent as (
+        select concat(case when amount < 100 then 'bank' else 'gateway' end, '_transactions') as topic,
+        cast(event_time as date) as event_date, amount, event_type from payments),
+        total as (select topic, event_date, count(*) as n from sent group by all), found as ({rows})
+        select found.*, round(messages / n, 9) as share from found join total using (topic, event_date)"""
+
+
+def _verdict_lines() -> str:
+    rejected = "case class when 'invalid' then 'Invalid transaction format: ' when 'missing' then " \
+        "'Missing required fields in transaction: ' else 'Error processing: ' end || value"
+    return f"""{_with('', 'payments', 'messages').rstrip()},
+        plain as (select * replace ({_PARSED_STATUS} as status) from payments where {_CLASS} = 'valid'),
+        {_RULES.replace('{source}', 'plain')} select {_line()} as value from judged
+        union all select {rejected} from (select value, {_CLASS} as class from messages) where class <> 'valid'"""
+
+
+ORACLES |= {"schema_drift": _drift(), "stream_verdict_lines": _verdict_lines()}
+
 # Other ways to the same rows.
 ORACLES |= {
     "user_features_incremental": ORACLES["user_features"],
     "stream_fraud_rules_ordered": ORACLES["fraud_rules"],
     "stream_burst_exact": ORACLES["burst_detect"],
     "stream_reconcile": ORACLES["recon_detail"],
+    "recon_bucketed": ORACLES["recon_detail"],
+    "stream_alert_outbox": ORACLES["fraud_alert_payload"],
 }

@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 
 from tripledger import fixed_values as fv
 from tripledger.functions import alerts, messages
-from tripledger.operators import burst, channels, features, partials, reconcile, rules, skew, upsert
+from tripledger.operators import burst, channels, drift, features, partials, reconcile, rules, skew, upsert
 from tripledger.plans import views
 from tripledger.schema import FIELDS
 from tripledger.settings import STREAM_CONF
-from tripledger.sources import folds, indexed, paths, raw, tables
+from tripledger.sources import bucketed, folds, indexed, paths, raw, tables
 from tripledger.sources.scratch import fresh_path
-from tripledger.streaming import landing, ledger, sinks, sources
+from tripledger.streaming import landing, ledger, outbox, sinks, sources
 from tripledger.streaming.bursts import burst_stream
 from tripledger.streaming.matching import reconcile_stream
 from tripledger.streaming.ordered import burst_ordered, fraud_rules_ordered
-from tripledger.streaming.rules import fraud_rules_stream
+from tripledger.streaming.rules import fraud_rules_stream, verdict_lines
 
 START, END = datetime(2024, 1, 8), datetime(2024, 1, 15)
 FIRST_RUN, SECOND_RUN = datetime(2024, 2, 1), datetime(2024, 2, 2)
@@ -178,6 +178,22 @@ def recon_latest(spark, sf_dir):
     return _ntz(report).select(*REPORT)
 
 
+def recon_bucketed(spark, sf_dir):
+    """Channels kept bucketed by id are matched where they lie."""
+    root, names = fresh_path(spark, "bucketed"), {}
+    for c, frame in views.channels(spark, sf_dir).items():
+        names[c] = f"bucketed_{c}_{root[-12:]}"
+        rows = frame.withColumn("event_time", F.col("event_time").cast("timestamp"))
+        bucketed.write_bucketed(rows, names[c], f"{root}/{c}", 8)
+    return _ntz(bucketed.reconcile_bucketed(spark, **names)).select(*REPORT)
+
+
+def schema_drift(spark, sf_dir):
+    """Messages whose fields drift with the kind of payment, by topic and day."""
+    found = drift.schema_drift(views.drifting_messages(spark, sf_dir))
+    return found.select("topic", "event_date", "field", "kind", "type", "messages", F.round("share", 9).alias("share"))
+
+
 # ---------------------------------------------------------------- user features
 
 
@@ -598,6 +614,46 @@ def stream_reconcile(spark, sf_dir):
     return _ntz(spark.read.schema(stream.schema).parquet(f"{out}/rows")).select(*REPORT)
 
 
+def stream_verdict_lines(spark, sf_dir):
+    """A line for every message of all kinds, rejected ones too; they are read once."""
+    folder = fresh_path(spark, "timed-messages")
+    source = views.payments(spark, sf_dir)
+    times = source.select("transaction_id", F.col("event_time").cast("timestamp").alias("arrival"))
+    sent = views.messages_of(source).select("transaction_id", "value").join(times, "transaction_id").select("arrival", "value")
+    sent.write.parquet(folder)
+    stream = sources.file_rows(spark, folder, sent.schema)
+    return _to_table(verdict_lines(stream), "verdict-lines")
+
+
+class _Killed(Exception):
+    pass
+
+
+def stream_alert_outbox(spark, sf_dir):
+    """Alerts sent through an outbox by a publisher that is killed after its first send, before it
+    notes it, and again after half of its second."""
+    out = fresh_path(spark, "alerts")
+    target = outbox.FolderTarget(spark, f"{out}/topic")
+    kills = iter((lambda m: m, lambda m: m.filter(F.pmod(F.xxhash64("message_id"), F.lit(2)) == 0)))
+
+    class Failing(outbox.FolderTarget):
+        def send(self, messages):
+            super().send(next(kills)(messages))
+            raise _Killed
+
+    def run(stream):
+        payload = rules.alert_payload(fraud_rules_stream(stream))
+        _run(outbox.collect(payload, out, f"{out}/checkpoint", trigger=sinks.AVAILABLE_NOW))
+        try:
+            outbox.publish(spark, out, Failing(spark, target.path))
+        except _Killed:
+            pass
+        outbox.publish(spark, out, target)
+
+    _in_two_steps(spark, sf_dir, run)
+    return target.read().select(*outbox.MESSAGE)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -605,7 +661,7 @@ QUERIES = {
         load_counts, channel_split, schema_conformance,
         recon_detail, recon_detail_bank_key, recon_detail_exact, recon_two_way, recon_amount_checks,
         recon_status_checks, recon_summary, recon_result_payload, recon_duplicates, recon_hot_ids,
-        recon_latest,
+        recon_latest, recon_bucketed, schema_drift,
         user_features, user_features_incremental, user_features_volume, user_features_volume_bucketed,
         user_features_week_collision, user_features_amount, user_features_diversity,
         user_features_failed, user_features_windowed, risk_score, high_risk_users, feature_summary,
@@ -615,5 +671,6 @@ QUERIES = {
         upsert_indexed, upsert_snapshot,
         stream_source, stream_union, land_topics, stream_fraud_rules, stream_burst, stream_restart,
         stream_fraud_ledger, stream_fraud_rules_ordered, stream_burst_exact, stream_reconcile,
+        stream_verdict_lines, stream_alert_outbox,
     )
 }

@@ -99,6 +99,22 @@ select transaction_id, user_id, amount, event_type, status,
 from {payments}
 """
 
+# Payments as messages that drift from the contract, each in its way by type and amount.
+DRIFTING = """
+select concat(case when amount < 100 then 'bank' else 'gateway' end, '_transactions') as topic,
+       cast(event_time as date) as event_date, amount, event_type,
+       case when event_type = 'error' and amount < 200 then concat('broken {', user_id)
+            else concat('{"transaction_id":"', transaction_id, '","user_id":"', user_id, '","timestamp":', cast({ts} as {string}),
+              case when event_type = 'view' then concat(',"amount":"', cast(amount as {string}), '"')
+                   when event_type = 'click' then ',"amount":null' else ',"amount":12.5' end,
+              case when event_type = 'signup' then '' else ',"status":"completed"' end,
+              ',"source":"bank","merchant":"m","card_type":',
+              case when event_type = 'error' then '{"brand":"visa"}' else '"visa"' end,
+              ',"location":', case when amount < 50 then 'null' else '"here"' end,
+              case when event_type = 'purchase' then ',"channel":["web",7],"retry":true' else '' end, '}') end as value
+from {payments}
+"""
+
 # What differs between the two engines.
 SPARK_WORDS = {
     "{millis}": "unix_millis(cast(ts as timestamp))", "{ts}": "`timestamp`", "{string}": "string"
@@ -146,5 +162,9 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, ORDER_PAYMENTS, "orders", table(spark, sf_dir, "orders"))
 
 
+def drifting_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, DRIFTING, "payments", payments(spark, sf_dir))
+
+
 def messages_of(source: DataFrame) -> DataFrame:
     return _view(source.sparkSession, MESSAGES, "payments", source)

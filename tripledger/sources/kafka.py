@@ -31,6 +31,14 @@ def source_options(
     return options
 
 
+def since_options(servers: str, topics: Sequence[str], millis: str) -> dict[str, str]:
+    """Options of a batch read of what has reached the topics since a time, headers included."""
+    return {
+        "kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingTimestamp": millis,
+        "startingOffsetsByTimestampStrategy": "latest", "includeHeaders": "true",
+    }
+
+
 def _messages(records: DataFrame) -> DataFrame:
     return records.select(
         "topic", F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrival")

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripledger.schema import FIELDS, LOADED, TRANSACTION
 from tripledger.functions import messages
@@ -45,6 +46,24 @@ def with_event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("event_time", messages.event_time("timestamp"))
 
 
+#: Times and amounts are read as they stand: a typed field would turn a text into NULL.
+_AS_TEXT = T.StructType([
+    T.StructField(f.name, T.StringType() if f.name in ("timestamp", "amount") else f.dataType, True) for f in TRANSACTION])
+
+
+def _typed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({
+        "timestamp": F.col("timestamp").try_cast("bigint"), "amount": F.trim("amount").try_cast("double")})
+
+
+def observed(rows: DataFrame, seen: Observation, lo: int, hi: int) -> DataFrame:
+    """The same rows; whoever runs them also counts those read, without a time, and out of range."""
+    time = F.col("timestamp")
+    return rows.observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(time.isNull()).alias("unreadable"),
+        F.count_if(~time.between(lo, hi)).alias("out_of_range"))
+
+
 def load_topic(
     spark: SparkSession,
     path: str,
@@ -54,20 +73,25 @@ def load_topic(
     on_missing: str = "error",
     multi_line: bool = False,
     fmt: str = "json",
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Transactions of one topic folder with `lo <= timestamp <= hi`.
 
     Folders partitioned by `event_date` (as the landing stream writes them) are pruned to
     the days of the range. A missing folder is an error unless `on_missing="empty"`.
+
+    In JSON a time or an amount may be a text, as in messages. `seen` is given, by the first
+    action on the result and without a pass of its own, how many rows were read, how many of them
+    have no readable time, and how many lie outside the range.
     """
     if on_missing not in ("error", "empty"):
         raise ValueError("on_missing is 'error' or 'empty'")
     if on_missing == "empty" and not paths.exists(spark, path):
         return empty_transactions(spark)
-    reader = spark.read.schema(TRANSACTION)
     if fmt == "json":
-        reader = reader.option("multiLine", str(multi_line).lower())
-    rows = reader.format(fmt).load(path)
+        rows = _typed(spark.read.schema(_AS_TEXT).option("multiLine", str(multi_line).lower()).json(path))
+    else:
+        rows = spark.read.schema(TRANSACTION).format(fmt).load(path)
     if "event_date" in rows.columns:
         day = F.col("event_date").cast("date")
         rows = rows.filter(
@@ -75,6 +99,8 @@ def load_topic(
                 F.to_date(F.timestamp_millis(F.lit(lo))), F.to_date(F.timestamp_millis(F.lit(hi)))
             )
         )
+    if seen is not None:
+        rows = observed(rows, seen, lo, hi)
     rows = rows.filter(F.col("timestamp").between(lo, hi))
     return with_event_time(rows.select(*FIELDS))
 

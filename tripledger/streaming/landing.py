@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripledger import fixed_values as fv
-from tripledger.functions.messages import event_time
+from tripledger.functions.messages import parse_messages
 
 LANDED, QUARANTINE = "landed", "quarantine"
 _LAYOUT = ("zone", "topic", "event_date", "batch")
@@ -16,8 +16,9 @@ def land_topics(messages: DataFrame, root: str, checkpoint: str, *, trigger: dic
     """Starts the landing query and returns it.
 
     Messages keep their text. They go to `zone=landed/topic=…/event_date=…/batch=…`;
-    messages that are no JSON object, or whose time is beyond the year 9999, go to `zone=quarantine`. A repeated batch rewrites its
-    own folders only, so every message lands exactly once.
+    messages that are no JSON object, or whose time is none between the years 1 and 9999, go to
+    `zone=quarantine`. A repeated batch rewrites its own folders only, so every message lands
+    exactly once.
     """
     trigger = trigger or {"processingTime": fv.STREAM_TRIGGER}
     return (
@@ -30,19 +31,14 @@ def land_topics(messages: DataFrame, root: str, checkpoint: str, *, trigger: dic
 
 def write_batch(batch: DataFrame, number: int, root: str) -> None:
     """One micro-batch in one pass."""
-    fields = F.from_json(
-        "value", "timestamp LONG, malformed STRING",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"},
-    )
-    parsed = batch.withColumn("_json", fields)
-    is_object = F.col("_json").isNotNull() & F.col("_json.malformed").isNull()
-    time = event_time("_json.timestamp")
+    # What is an object and what a time, the message parser decides: loaders and streams agree.
+    parsed = parse_messages(batch.select("topic", "value"))
     # A time that is no time would start a folder of its own, or stop the stream.
-    is_object &= time.isNotNull() | F.col("_json.timestamp").isNull()
+    timed = F.col("event_time").isNotNull() | F.col("timestamp_text").isNull()
     placed = parsed.select(
-        F.when(is_object, LANDED).otherwise(QUARANTINE).alias("zone"),
+        F.when((F.col("shape") == "json") & timed, LANDED).otherwise(QUARANTINE).alias("zone"),
         "topic",
-        F.to_date(time).alias("event_date"),
+        F.to_date("event_time").alias("event_date"),
         F.lit(number).alias("batch"),
         "value",
     )

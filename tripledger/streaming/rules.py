@@ -33,6 +33,8 @@ _OUT = T.StructType(
         T.StructField("large", T.DoubleType()),
     ]
 )
+#: Begins the key of rows that only pass through; no message has such a user.
+_REJECTED = "\0rejected"
 _ORDER = ["event_time", "transaction_id", "source", "amount", "status"]
 
 
@@ -53,12 +55,20 @@ def valid_messages(stream: DataFrame, value: str = "value") -> DataFrame:
 def verdict_lines(
     stream: DataFrame, *, threshold: float = fv.LARGE_AMOUNT, value: str = "value", **options
 ) -> DataFrame:
-    """One text line per message of a stream: alert, normal, or why it was rejected."""
-    rejected = judged_messages(stream, value).filter(F.col("row_class") != messages.VALID)
-    good = fraud_rules_stream(valid_messages(stream, value), threshold=threshold, **options)
-    return good.select(alerts.alert_text(threshold).alias("value")).unionByName(
-        rejected.select(alerts.rejected_text(value).alias("value"))
-    )
+    """One text line per message of a stream: alert, normal, or why it was rejected.
+
+    Every message is read and parsed once: rejected ones bring their line along and pass by the
+    state, under keys of their own that spread them.
+    """
+    judged = judged_messages(stream, value)
+    valid = F.col("row_class") == messages.VALID
+    spread = F.concat(F.lit(_REJECTED), F.pmod(F.xxhash64(value), F.lit(1024)).cast("string"))
+    keyed = judged.withColumns({
+        "user_id": F.when(valid, F.col("user_id")).otherwise(spread),
+        "line": F.when(~valid, alerts.rejected_text(value)),
+    })
+    good = fraud_rules_stream(keyed, threshold=threshold, **options)
+    return good.select(F.coalesce("line", alerts.alert_text(threshold)).alias("value"))
 
 
 def fraud_rules_stream(
@@ -89,8 +99,11 @@ def fraud_rules_stream(
         forget_ms = int(pd.Timedelta(forget_after) / pd.Timedelta(milliseconds=1))
     if once_per_id:
         txns = txns.dropDuplicatesWithinWatermark(["transaction_id"])
+    out = _OUT
+    if "line" in txns.columns:
+        out = T.StructType([*_OUT.fields, T.StructField("line", T.StringType())])
     keyed = txns.select(
-        "user_id", *_CARRIED,
+        "user_id", *_CARRIED, *(["line"] if "line" in txns.columns else []),
         F.coalesce(money.fine("amount").cast(money.TOTAL), F.lit(0).cast(money.TOTAL)).alias("total"),
         F.coalesce(money.coarse("amount"), F.lit(0.0)).alias("large"),
     )
@@ -101,6 +114,10 @@ def fraud_rules_stream(
         if state.hasTimedOut:
             state.remove()
             return
+        if str(key[0]).startswith(_REJECTED):
+            for part in chunks:
+                yield part.assign(txn_count=0)[out.names]
+            return
         rows = pd.concat(list(chunks)).sort_values(_ORDER, na_position="first", kind="stable")
         n, total, large = state.get if state.exists else (0, Decimal(0), 0.0)
         rows["txn_count"] = range(n + 1, n + len(rows) + 1)
@@ -113,9 +130,9 @@ def fraud_rules_stream(
             if not pd.isna(newest):
                 latest = max(int(newest.timestamp() * 1000), state.getCurrentWatermarkMs())
                 state.setTimeoutTimestamp(latest + forget_ms)
-        yield rows[_OUT.fieldNames()]
+        yield rows[out.names]
 
-    counted = keyed.groupBy("user_id").applyInPandasWithState(advance, _OUT, _STATE, "append", timeout)
+    counted = keyed.groupBy("user_id").applyInPandasWithState(advance, out, _STATE, "append", timeout)
     totals = counted.withColumn("txn_total", money.known_total("total", F.nullif("large", F.lit(0.0))))
     totals = totals.drop("total", "large")
     return alerts.apply_rules(totals, threshold)
