@@ -157,6 +157,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _blocks(model: Frequencies, dtype: np.dtype, offsets: dict[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_memory.cache_clear()  # of the stage before, if this worker served it
         held: list[tuple] = []  # documents of the open block, next to each other
         size, following = 0, None
 

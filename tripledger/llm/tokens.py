@@ -13,9 +13,9 @@ import numpy as np
 from tripledger.llm.word_bpe import byte_letters
 
 #: Pieces a worker remembers before it forgets all but the first ones.
-REMEMBERED, KEPT = 700_000, 350_000
+REMEMBERED, KEPT = 600_000, 400_000
 #: Characters of text whose new words are encoded together.
-GROUP = 4_000_000
+GROUP = 2_000_000
 
 #: White space besides single spaces and line feeds between words, and the byte used for cutting.
 _ODD = ("  ", "\n\n", " \n", "\n ", *"\0\t\v\f\r\x1c\x1d\x1e\x1f")
