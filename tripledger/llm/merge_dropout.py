@@ -28,9 +28,9 @@ SPACE = "▁"  # stands for a space inside pieces
 DROPOUT = 0.1
 VARIANTS = 4
 #: (word, variant) pairs remembered per worker.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Characters of text whose new words are segmented together.
-GROUP = 2_000_000
+GROUP = 1_000_000
 #: Words of up to so many characters are segmented side by side, `TOGETHER` at once.
 SIDE_BY_SIDE = 64
 TOGETHER = 4096
