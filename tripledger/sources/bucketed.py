@@ -6,7 +6,8 @@ layout, so the three-way match is put together from joins that do: what the bank
 gateway's and the processor's views; what the gateway has beyond that; what the processor has
 beyond both. Rows without an id match nothing and pass by.
 
-An id with very many rows stays within its bucket; `operators.reconcile` salts such ids instead.
+Buckets should be no fewer than the cores that read them, or Spark may rather shuffle. An id with
+very many rows stays within its bucket; `operators.reconcile` salts such ids instead.
 """
 
 from __future__ import annotations
@@ -65,5 +66,5 @@ def reconcile_bucketed(
 
 
 def _merged(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
-    """Sorted buckets are merged: neither side is moved, hashed or sorted."""
+    """Buckets are sorted and merged in their task; neither side is moved."""
     return left.join(right.hint("merge"), on, how)
