@@ -58,6 +58,8 @@ def _current_version(spark: SparkSession, path: str) -> int | None:
 def _write_next_version(incoming, path, keys, order_by, whole_keys) -> None:
     spark = incoming.sparkSession
     version = _current_version(spark, path)
+    if version is not None:  # read twice below: computed once
+        incoming = materialize(incoming if whole_keys else dedupe_latest(incoming, keys, order_by), "upsert-incoming")
     if whole_keys:
         rows = incoming if version is None else replace_keys(read_table(spark, path), incoming, keys)
     elif version is None:
