@@ -13,9 +13,9 @@ import numpy as np
 from tripledger.llm.word_bpe import byte_letters
 
 #: Pieces a worker remembers before it forgets all but the first ones.
-REMEMBERED, KEPT = 600_000, 400_000
+REMEMBERED, KEPT = 1_000_000, 700_000
 #: Characters of text whose new words are encoded together.
-GROUP = 2_000_000
+GROUP = 4_000_000
 
 #: White space besides single spaces and line feeds between words, and the byte used for cutting.
 _ODD = ("  ", "\n\n", " \n", "\n ", *"\0\t\v\f\r\x1c\x1d\x1e\x1f")
@@ -28,6 +28,18 @@ def _odd(text: str) -> bool:
     return not text.isascii() and any(x in text for x in _WIDE)
 
 
+class _Known(dict):
+    """Ids of pieces; one that is looked up in vain is noted in `new`."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> bytes:
+        self.new.append(piece)
+        return b""
+
+
 class WordMemory:
     """Encodes whole texts with a byte-level BPE tokenizer, each frequent word once.
 
@@ -46,7 +58,7 @@ class WordMemory:
         self.letters = byte_letters()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.known: dict[str, bytes] = {"\n": np.array([self.line_feed], self.dtype).tobytes()}
+        self.known = _Known({"\n": np.array([self.line_feed], self.dtype).tobytes()})
 
     def plain(self, texts: list[str]) -> list[bytes]:
         batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -91,25 +103,27 @@ class WordMemory:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts; words that are new to this worker are encoded together."""
-        known, parts, new = self.known, [], set()
-        for text in texts:
-            if _odd(text) or any(t in text for t in self.added):
-                parts.append(None)
-                continue
-            lines = text.split("\n")
-            pieces = lines[0].replace(" ", "\0 ").split("\0")
-            for line in lines[1:]:
-                pieces.append("\n")
-                pieces += line.replace(" ", "\0 ").split("\0")
-            parts.append(pieces)
-            new.update(pieces)
+        known, parts, out, waiting = self.known, [], [], []
         if len(known) > REMEMBERED:
             # Forget what came last: the first words met are the most frequent ones.
             for piece in list(islice(reversed(known), len(known) - KEPT)):
                 del known[piece]
-        self._learn([p for p in new if p not in known])
-        of = known.__getitem__
-        return [self.plain([t])[0] if p is None else b"".join(map(of, p)) for t, p in zip(texts, parts)]
+        of, new = known.__getitem__, known.new
+        for text in texts:
+            if _odd(text) or any(t in text for t in self.added):
+                out.append(self.plain([text])[0])
+                continue
+            pieces = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+            before = len(new)
+            out.append(b"".join(map(of, pieces)))
+            if len(new) > before:
+                waiting.append(len(out) - 1)
+                parts.append(pieces)
+        self._learn(list(dict.fromkeys(new)))
+        new.clear()
+        for at, pieces in zip(waiting, parts):
+            out[at] = b"".join(map(of, pieces))
+        return out
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of whole texts, in groups of about `GROUP` characters."""
