@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from tripledger import fixed_values as fv
 from tripledger.functions import messages
-from tripledger.operators import features
+from tripledger.operators import features, reconcile
 from tripledger.plans import jobs
 from tripledger.settings import STREAM_CONF, Settings
 from tripledger.sources import indexed, kafka, raw, tables
 from tripledger.sources.scratch import fresh_path
 from tripledger.streaming import landing, sinks, sources
-from tripledger.streaming.rules import verdict_lines
+from tripledger.streaming.rules import valid_messages, verdict_lines
 
 START = datetime(2024, 1, 1)
 FIELDS = {"transaction_id": "t", "user_id": "u", "amount": 5.0, "status": "completed", "source": "bank", "merchant": "m", "card_type": "visa"}
@@ -194,3 +194,19 @@ def test_burst_settings_act(spark, monkeypatch):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     sent = spark.read.parquet(f"{out}/rows").collect()
     assert [(r["topic"], r["key"], json.loads(r["value"])["burst_count"]) for r in sent] == [(fv.ALERT_TOPIC, "t2", 3)]
+
+
+def test_topics_are_matched_continuously(spark, tmp_path):
+    """Messages of three topics in one stream; a payment that the processor lacks is a result message."""
+    for k, topic in enumerate(fv.TOPICS.values()):
+        (tmp_path / topic).mkdir()
+        lines = [message(i, START + timedelta(minutes=i)) for i in range(3) if (k, i) != (2, 1)]
+        (tmp_path / topic / "a.txt").write_text("\n".join([*lines, "noise", message("last", START + timedelta(days=9))]))
+    stream = sources.union_streams([sources.file_messages(spark, f"{tmp_path}/{t}", t) for t in fv.TOPICS.values()])
+    report = jobs.match_topics(valid_messages(stream), lateness="1 hour")
+    assert report._jdf.queryExecution().analyzed().toString().count("StreamingRelation") == 3  # each topic once
+    payload = reconcile.result_payload(report)
+    out = fresh_path(spark, "results")
+    sinks.to_parquet(payload, f"{out}/rows", f"{out}/c", trigger=sinks.AVAILABLE_NOW).awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows").collect()
+    assert [(r["topic"], r["key"], json.loads(r["value"])["processor_presence"]) for r in rows] == [(fv.RESULT_TOPIC, "t1", "missing")]

@@ -20,9 +20,14 @@ from tripledger.functions.scores import percentage, risk_score
 from tripledger.operators import partials
 from tripledger.operators.partials import DIVERSITY, PERIODS
 from tripledger.operators.partials import slots as _slots
+from tripledger.sources.scratch import materialize
 
 
 
+PROFILE = (
+    "avg_txn_amount", "stddev_txn_amount", "max_txn_amount", "min_txn_amount", *DIVERSITY, "failed_txn_count", "failed_txn_ratio")
+
+
 def user_features(
     txns: DataFrame,
     *,
@@ -81,10 +86,7 @@ def user_profile(
     sums = sums.select("user_id", *_amount_stats(), "failed_txn_count", _failed_ratio())
     # Exact distinct counts multiply the rows they read; the sums stay out of that.
     merged = _merge_users(sums, user_diversity(txns, distinct=distinct))
-    return merged.select(
-        "user_id", "avg_txn_amount", "stddev_txn_amount", "max_txn_amount", "min_txn_amount",
-        *DIVERSITY, "failed_txn_count", "failed_txn_ratio",
-    )
+    return merged.select("user_id", *PROFILE)
 
 
 def user_amounts(txns: DataFrame, *, exact_amounts: bool = True) -> DataFrame:
@@ -110,8 +112,10 @@ def transaction_context(txns: DataFrame, *, grain: str = "clock") -> DataFrame:
     all of a user's transactions; the large side of the join may be split when skewed.
     """
     hour_slot, day_slot, week_slot = _slots(grain)
+    # Folded once, small, and read twice: payments are scanned for it and for the rows themselves.
+    folded = materialize(partials.fold(txns), "folded")
     per_hour = (
-        _per_user_hour(txns)
+        folded.filter(F.col("kind") == partials.SUMS).select("user_id", "day", "hour", "n", "total", "large")
         .repartition("user_id")
         .withColumns({"slot_hourly": hour_slot, "slot_daily": day_slot, "slot_weekly": week_slot})
     )
@@ -121,7 +125,7 @@ def transaction_context(txns: DataFrame, *, grain: str = "clock") -> DataFrame:
         columns[f"txn_count_{p}"] = F.sum("n").over(peers)
         columns[f"txn_amount_{p}"] = money.known_total(F.sum("total").over(peers), F.sum("large").over(peers))
     hours = per_hour.withColumns(columns).select("user_id", "day", "hour", *columns)
-    users = user_profile(txns)
+    users = partials.merge(folded, grain=grain).select("user_id", *PROFILE)
     context = hours.alias("h").join(users.alias("u"), F.col("h.user_id").eqNullSafe(F.col("u.user_id")))
     context = context.select("h.*", *[f"u.{c}" for c in users.columns if c != "user_id"])
     rows = txns.select("transaction_id", "user_id", "event_time", "amount", *_hour_key())

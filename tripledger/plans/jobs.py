@@ -17,7 +17,7 @@ from tripledger.operators.skew import profile_keys
 from tripledger.settings import STREAM_CONF, Settings
 from tripledger.sources import folds, indexed, kafka, paths, raw, tables
 from tripledger.sources.scratch import materialize
-from tripledger.streaming import landing, ordered, sinks
+from tripledger.streaming import landing, matching, ordered, sinks
 from tripledger.streaming.rules import fraud_rules_stream, valid_messages, verdict_lines
 
 #: Messages in a micro-batch, also in the first one after years: keyed state holds a user's share of it in one task.
@@ -222,6 +222,34 @@ def fraud_job(
     return kafka.write_stream(payload, settings.kafka_servers, checkpoint, fv.STREAM_TRIGGER)
 
 
+def matching_job(
+    spark: SparkSession,
+    checkpoint: str,
+    settings: Settings | None = None,
+    *,
+    topics: dict[str, str] = fv.TOPICS,
+    starting: str = "earliest",
+    max_per_trigger: int = MESSAGES_PER_TRIGGER,
+    **options,
+):
+    """Continuous reconciliation of the three topics (options: see `streaming.matching`): payments
+    that are not reconciled go to the result topic; returns the running query."""
+    settings = settings or Settings()
+    valid = valid_messages(_messages(spark, settings, tuple(topics.values()), starting, max_per_trigger))
+    payload = recon.result_payload(match_topics(valid, topics, **options))
+    return kafka.write_stream(payload, settings.kafka_servers, checkpoint, fv.STREAM_TRIGGER)
+
+
+def match_topics(valid: DataFrame, topics: dict[str, str] = fv.TOPICS, **options) -> DataFrame:
+    """The continuous report over one stream of valid messages of three topics, read once."""
+    if "source" not in valid.columns:
+        valid = valid.withColumn("source", F.lit(None).cast("string"))
+    channel = F.lit(None).cast("string")
+    for c, t in topics.items():
+        channel = F.when(F.col("topic") == t, c).otherwise(channel)
+    return matching.match_views(valid.withColumn("channel", channel).filter("channel IS NOT NULL"), **options)
+
+
 def burst_job(
     spark: SparkSession,
     checkpoint: str,

@@ -24,6 +24,17 @@ def reconcile_stream(
     bank: DataFrame,
     gateway: DataFrame,
     processor: DataFrame,
+    **options,
+) -> DataFrame:
+    """Streaming form of `operators.reconcile.reconcile` (`key_mode="coalesced"`) over three streams;
+    options as in `match_views`."""
+    tagged = [f.withColumn("channel", F.lit(c)) for c, f in zip(CHANNELS, (bank, gateway, processor))]
+    columns = [*FACTS, "transaction_id", "channel", *(["arrival"] if all("arrival" in f.columns for f in tagged) else [])]
+    return match_views(reduce(DataFrame.unionByName, [f.select(*columns) for f in tagged]), **options)
+
+
+def match_views(
+    views: DataFrame,
     *,
     apart: str = "10 minutes",
     lateness: str = "1 hour",
@@ -32,7 +43,7 @@ def reconcile_stream(
     dedupe: str | None = None,
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Streaming form of `operators.reconcile.reconcile` (`key_mode="coalesced"`), append mode.
+    """The report over one stream of views, whose `channel` says who sent them; append mode.
 
     A payment is reported once, when the watermark (the greatest time seen less `lateness`) has
     passed its session. A view that comes later is left out of the stream; Spark counts it in
@@ -45,8 +56,11 @@ def reconcile_stream(
     """
     if dedupe not in (None, "latest"):
         raise ValueError("dedupe is None or 'latest'")
-    tagged = reduce(DataFrame.unionByName, [
-        _tagged(frame, channel) for channel, frame in zip(CHANNELS, (bank, gateway, processor))])
+    time = F.coalesce("event_time", "arrival") if "arrival" in views.columns else F.col("event_time")
+    alone = F.concat(F.lit("\0"), F.expr("uuid()"))
+    tagged = views.select(
+        "channel", F.coalesce("transaction_id", alone).alias("key"), "transaction_id", time.alias("event_time"),
+        *[f for f in FACTS if f != "event_time"])
     facts = F.struct("event_time", *[f for f in FACTS if f != "event_time"])
     fold = F.collect_list if dedupe is None else F.max
     sessions = tagged.withWatermark("event_time", lateness).groupBy(
@@ -68,12 +82,3 @@ def reconcile_stream(
         )])
     return judge(matched, CHANNELS, tolerance, exact, as_of)
 
-
-def _tagged(frame: DataFrame, channel: str) -> DataFrame:
-    time = F.col("event_time")
-    if "arrival" in frame.columns:
-        time = F.coalesce(time, F.col("arrival"))
-    alone = F.concat(F.lit("\0"), F.expr("uuid()"))
-    return frame.select(
-        F.lit(channel).alias("channel"), F.coalesce("transaction_id", alone).alias("key"), "transaction_id",
-        "user_id", time.alias("event_time"), "amount", "status", "source")
