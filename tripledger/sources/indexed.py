@@ -276,13 +276,14 @@ class IndexedTable:
         back = self.spark.read.schema(rows.schema).parquet(f"{self.path}/data/{commit}")
         column = F.col(f"`{by}`") if by else F.lit(None).cast("string")
         named = self._named(back.select(*dict.fromkeys([*options.keys, *([by] if by else [])]), file.alias("file")), options)
+        index = named.groupBy("file", "slot").agg(
+            F.array_sort(F.collect_set("print")).alias("prints"), F.count(F.lit(1)).alias("rows"),
+            F.min(column).alias("low"), F.max(column).alias("high"))
+        index.write.parquet(f"{self.path}/index/{commit}")
+        kept = self.spark.read.schema(index.schema).parquet(f"{self.path}/index/{commit}")
         (
-            named.groupBy("file", "slot").agg(F.array_sort(F.collect_set("print")).alias("prints"))
-            .write.parquet(f"{self.path}/index/{commit}")
-        )
-        (
-            named.groupBy("file").agg(F.lit(commit).alias("commit"), F.count(F.lit(1)).alias("rows"),
-                                      F.min(column).alias("low"), F.max(column).alias("high"))
+            kept.groupBy("file").agg(F.lit(commit).alias("commit"), F.sum("rows").alias("rows"),
+                                     F.min("low").alias("low"), F.max("high").alias("high"))
             .write.parquet(f"{self.path}/added/{commit}")
         )
 
