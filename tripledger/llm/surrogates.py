@@ -5,11 +5,16 @@ of a number, lower case of an address) gets one surrogate from a keyed hash, the
 occurs. A collision check over all surrogates and all found entities sends every second owner of
 a surrogate, and every surrogate that is itself somebody's entity, to the next attempt, until
 all are distinct. Texts are then rebuilt from the pieces between entities.
+
+Family names are entities of their own, settled first: a person named with and without a given
+name, or with another title, keeps one family name. Names have no end of surrogates: each attempt
+adds a syllable to a family name, or a further part to a given name.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,8 +77,11 @@ def _canonical(kind: Column, entity: Column) -> Column:
 
 
 def _draw(key: str, what: Column, below: int) -> Column:
-    """A number from 0 on, keyed, from a string that names the draw."""
-    hexed = F.substring(F.sha2(F.concat(F.lit(key), F.lit("\0"), what).cast("binary"), 256), 1, 15)
+    """A number from 0 on, keyed, from a string that names the draw: the start of its HMAC (SHA-256)."""
+    secret = key.encode() if len(key.encode()) <= 64 else sha256(key.encode()).digest()
+    inner, outer = (F.lit(bytes(b ^ pad for b in secret.ljust(64, b"\0"))) for pad in (0x36, 0x5C))
+    mixed = F.unhex(F.sha2(F.concat(inner, what.cast("binary")), 256))
+    hexed = F.substring(F.sha2(F.concat(outer, mixed), 256), 1, 15)
     return F.pmod(F.conv(hexed, 16, 10).cast("long"), F.lit(below))
 
 
@@ -104,41 +112,68 @@ def _luhn_digit(body: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
-def _name(key: str, canon: Column, attempt: Column) -> Column:
-    """Title kept; given name by gender and script, family name by script.
+def _script(name: Column) -> Column:
+    return F.when(name.rlike(r"\p{IsCyrillic}{2}"), "cyrillic").when(name.rlike(r"\p{IsGreek}{2}"), "greek").otherwise("latin")
 
-    Names are drawn word by word, so a family name keeps its surrogate with and without a given name.
-    """
-    words = F.split(F.regexp_replace(canon, rf"^(?:{_TITLES})\.? ", ""), " ")
+
+def _words(canon: Column) -> Column:
+    return F.split(F.regexp_replace(canon, rf"^(?:{_TITLES})\.? ", ""), " ")
+
+
+def family_of(canon: Column) -> Column:
+    """Script and family name of a name."""
+    words = _words(canon)
+    return F.concat(_script(canon), F.lit("\0"), F.get(words, F.size(words) - 1))
+
+
+def _family(key: str, canon: Column, attempt: Column) -> Column:
+    """Another family name of the script, a syllable longer with each attempt."""
+    script, word = F.substring_index(canon, "\0", 1), F.substring_index(canon, "\0", -1)
+    syllables = F.coalesce(*[F.when(script == s, F.array(*map(F.lit, of))) for s, of in SYLLABLES.items()])
+
+    def one(k: Column) -> Column:
+        drawn = _draw(key, F.concat(F.lit("family"), k.cast("string"), word, F.lit("\0"), attempt.cast("string")), len(SYLLABLES["latin"]))
+        return F.get(syllables, drawn.cast("int"))
+
+    return F.concat(script, F.lit("\0"), F.initcap(_joined(F.transform(F.sequence(F.lit(0), 3 + attempt), one))))
+
+
+def _name(key: str, canon: Column, attempt: Column, family: Column) -> Column:
+    """Title kept; given name by gender and script, in one more part with each attempt; the
+    family name's own surrogate."""
+    words, script = _words(canon), _script(canon)
     title = F.regexp_extract(canon, rf"^((?:{_TITLES})\.? )", 1)
     bare = F.regexp_replace(title, r"\.? $", "")
     gender = F.when(bare.isin(*MALE), "m").when(bare.isin(*FEMALE), "f").otherwise("x")
-    script = F.when(canon.rlike(r"\p{IsCyrillic}{2}"), "cyrillic").when(canon.rlike(r"\p{IsGreek}{2}"), "greek").otherwise("latin")
-    again = F.concat(F.lit("\0"), attempt.cast("string"))
+    first, last = F.get(words, 0), F.substring_index(family, "\0", -1)
 
-    def given(word: Column) -> Column:
+    def given(k: Column) -> Column:
+        what = F.concat(F.lit("given"), first, gender, F.when(k > 0, k.cast("string")).otherwise(""))
         return F.coalesce(*[
-            F.when((script == s) & (gender == g), F.get(
-                F.array(*[F.lit(n) for n in names]),
-                _draw(key, F.concat(F.lit("given"), word, F.lit(g)), len(names)).cast("int")))
+            F.when((script == s) & (gender == g), F.get(F.array(*map(F.lit, names)), _draw(key, what, len(names)).cast("int")))
             for (s, g), names in GIVEN.items()])
 
-    def family(word: Column) -> Column:
-        def syllable(k: int) -> Column:
-            return F.coalesce(*[
-                F.when(script == s, F.get(F.array(*[F.lit(x) for x in of]), _draw(
-                    key, F.concat(F.lit(f"family{k}"), word, again), len(of)).cast("int")))
-                for s, of in SYLLABLES.items()])
+    parts = F.array_join(F.transform(F.sequence(F.lit(0), attempt), given), "-")
+    return F.when(F.size(words) > 1, F.concat(title, parts, F.lit(" "), last)).otherwise(F.concat(title, last))
+
 
-        return F.initcap(F.concat(*[syllable(k) for k in range(4)]))
+def _iban(canon: Column, plain: Column) -> Column:
+    """Another number of the country, with the check digits that make it valid if the first was."""
+    country, rest = F.substring(canon, 1, 2), F.substring(plain, F.lit(5), F.length(canon))
 
-    first, last = F.get(words, 0), F.get(words, F.size(words) - 1)
-    return F.when(F.size(words) > 1, F.concat(title, given(first), F.lit(" "), family(last))).otherwise(
-        F.concat(title, family(last)))
+    def check(of: Column) -> Column:
+        """98 less the remainder by 97 of the number that country and a zero check give."""
+        digits = F.transform(F.split(F.concat(of, country, F.lit("00")), ""), lambda c: F.when(
+            c.rlike("[0-9]"), c).otherwise((F.ascii(c) - 55).cast("string")))
+        left = F.aggregate(F.split(_joined(digits), ""), F.lit(0), lambda a, c: (10 * a + c.cast("int")) % 97)
+        return F.lpad((98 - left).cast("string"), 2, "0")
+
+    valid = check(F.substring(canon, F.lit(5), F.length(canon))) == F.substring(canon, 3, 2)
+    return F.concat(country, F.when(valid, check(rest)).otherwise(F.substring(plain, 3, 2)), rest)
 
 
 def _surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
-    """A surrogate in canonical form, of the same type."""
+    """A surrogate in canonical form, of the same type. Names: see `_name`."""
     of = F.concat(kind, F.lit("\0"), canon, F.lit("\0"), attempt.cast("string"))
     plain = _alike(key, of, canon)
     n = F.length(canon)
@@ -159,11 +194,12 @@ def _surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column
     phone = F.concat(F.substring(canon, F.lit(1), code), F.substring(plain, code + 1, n))
     return (
         F.when(kind == "email", email).when(kind == "ip", F.array_join(octets, "."))
-        .when(kind == "card", card).when(kind == "phone", phone).when(kind == "name", _name(key, canon, attempt))
+        .when(kind == "card", card).when(kind == "phone", phone)
+        .when(kind == "family", _family(key, canon, attempt))
         .when(kind == "secret", F.when(canon.rlike("^[0-9a-f]+$"), _alike(key, of, canon, hexed=True)).otherwise(
             F.concat(F.regexp_extract(canon, "^(AKIA|[a-z]+[-_]|)", 1),
                      _alike(key, of, F.regexp_replace(canon, "^(AKIA|[a-z]+[-_])", "")))))
-        .when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.substring(plain, F.lit(3), n)))
+        .when(kind == "iban", _iban(canon, plain))
         .otherwise(plain)
     )
 
@@ -185,11 +221,22 @@ def _laid_out(kind: Column, entity: Column, surrogate: Column) -> Column:
 
 def assign(found: DataFrame, key: str, max_attempts: int = 100) -> DataFrame:
     """From distinct (`kind`, `canon`) to distinct surrogates: (`kind`, `canon`, `surrogate`)."""
+    found = found.withColumn("of", F.when(F.col("kind") == "name", family_of(F.col("canon"))))
+    families = _settled(
+        found.where("of IS NOT NULL").select(F.lit("family").alias("kind"), F.col("of").alias("canon")).distinct()
+        .withColumn("family", F.lit(None).cast("string")), key, max_attempts)
+    families = families.select(F.col("canon").alias("of"), F.col("surrogate").alias("family"))
+    return _settled(found.join(families, "of", "left").select("kind", "canon", "family"), key, max_attempts)
+
+
+def _settled(found: DataFrame, key: str, max_attempts: int) -> DataFrame:
     taken = None
     pending = materialize(found.withColumn("attempt", F.lit(0)), "entities")
     every = pending.select("kind", F.col("canon").alias("surrogate"))
     for _ in range(max_attempts):
-        drawn = pending.withColumn("surrogate", _surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt")))
+        drawn = pending.withColumn("surrogate", F.when(
+            F.col("kind") == "name", _name(key, F.col("canon"), F.col("attempt"), F.col("family")),
+        ).otherwise(_surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt"))))
         drawn = materialize(drawn, "drawn")
         # Of equal surrogates the smallest entity keeps it; grouping folds before the shuffle.
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
@@ -198,10 +245,11 @@ def assign(found: DataFrame, key: str, max_attempts: int = 100) -> DataFrame:
             free = free.join(taken, ["kind", "surrogate"], "left_anti")
         won = materialize(free.select("kind", "canon", "surrogate"), "won")
         lost = drawn.join(won, ["kind", "canon"], "left_anti")
-        pending = materialize(lost.select("kind", "canon", (F.col("attempt") + 1).alias("attempt")), "pending")
+        pending = materialize(lost.select("kind", "canon", "family", (F.col("attempt") + 1).alias("attempt")), "pending")
         taken = won if taken is None else materialize(taken.unionByName(won), "taken")
         if pending.isEmpty():
             return taken
+    # Only formats of fixed size come here, such as numbers of eleven digits: all are in use.
     raise RuntimeError("entities outnumber the surrogates of their format")
 
 
