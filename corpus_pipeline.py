@@ -43,9 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the text decoded from them."""
-    path = vocabulary("piece_bpe_32k.model")
-    out = merge_dropout.encode(docs, path)
-    out = out.withColumn("decoded", merge_dropout.decoder(path)(F.col("ids")))
+    out = merge_dropout.encode(docs, vocabulary("piece_bpe_32k.model"), decoded=True)
     return unpacked(out, docs, "ids", text=F.col("decoded"))
 
 

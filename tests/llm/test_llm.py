@@ -245,6 +245,8 @@ def test_merge_dropout_is_lossless(docs, none, rows):
     got = got.withColumn("back", merge_dropout.decoder(path)(F.col("ids"))).collect()
     assert len(got) == len(rows)
     assert all(r["back"] == r["row"]["text"] for r in got)
+    again = merge_dropout.encode(docs, path, decoded=True)
+    assert again.where("NOT (decoded <=> row.text)").count() == 0
     assert merge_dropout.encode(none, path).count() == 0
 
 

@@ -287,14 +287,17 @@ def vocabulary(path: str, seed: int, dropout: float) -> Vocabulary:
 
 
 def encode(docs: DataFrame, path: str, seed: int = 17, dropout: float = DROPOUT,
-           key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`row` and `ids` (array<int>), the pieces of the whole text.
+           key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+    """`row` and `ids` (array<int>), the pieces of the whole text; with `decoded` also the text
+    that they decode to, made by the same worker.
 
     Equal key, text and seed give equal ids. Null texts give null, empty texts no id. Null keys
     count as one key. Without dropout the ids are the plain BPE segmentation.
     """
     rows = packed(docs, document=F.xxhash64(F.col(key)))
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema.add("decoded", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabulary(path, seed, dropout)
@@ -303,8 +306,10 @@ def encode(docs: DataFrame, path: str, seed: int = 17, dropout: float = DROPOUT,
             texts = row.field(text).to_pylist()
             # Small batches leave as soon as they are encoded.
             for ids in own.encode(texts, batch.column("document").to_pylist(), seed, dropout):
-                yield pa.RecordBatch.from_arrays(
-                    [row.slice(start, len(ids)), pa.array(ids, pa.list_(pa.int32()))], names=["row", "ids"])
+                out = [row.slice(start, len(ids)), pa.array(ids, pa.list_(pa.int32()))]
+                if decoded:
+                    out.append(pa.array([None if x is None else own.decode(x.tolist()) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names=schema.names)
                 start += len(ids)
 
     return rows.mapInArrow(run, schema)

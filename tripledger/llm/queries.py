@@ -58,10 +58,9 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("piece_bpe_32k.model")
-    out = merge_dropout.encode(documents(spark, sf_dir).select("doc_id", "text"), path)
-    decoded = merge_dropout.decoder(path)(F.col("ids"))
+    out = merge_dropout.encode(documents(spark, sf_dir).select("doc_id", "text"), path, decoded=True)
     return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                      F.xxhash64("ids").alias("ids_hash"), decoded.eqNullSafe(F.col("row.text")).alias("lossless"))
+                      F.xxhash64("ids").alias("ids_hash"), F.col("decoded").eqNullSafe(F.col("row.text")).alias("lossless"))
 
 
 def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
