@@ -28,7 +28,8 @@ def test_stages_take_empty_documents(spark):
 
 def test_queries_match_sql(spark):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     for name, sql in ORACLES.items():
         got = QUERIES[name](spark, SF)
         cols = sorted(got.columns)
