@@ -264,6 +264,32 @@ def test_merges_without_dropout_and_with(monkeypatch):
     assert a != b and groups[0][0].tolist() == a and groups[1][0] is None
 
 
+def test_words_are_numbered_once_and_forgotten_when_memory_is_full(monkeypatch):
+    path = vocabulary("piece_bpe_32k.model")
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{int(i)}é" for i in rng.integers(0, 60, 40)) for _ in range(12)] + ["", None, "日本🙂" * 30]
+    keys = list(range(len(texts)))
+
+    def ids(own):
+        return [None if x is None else x.tolist() for group in own.encode(texts, keys, -3, 0.3) for x in group]
+
+    want = [next(merge_dropout.Vocabulary(path).encode([t], [k], -3, 0.3))[0] for t, k in zip(texts, keys)]
+    want = [None if x is None else x.tolist() for x in want]
+    whole = merge_dropout.Vocabulary(path)
+    assert ids(whole) == want
+    asked = []
+    monkeypatch.setattr(whole, "segment_all", lambda pairs, *a: asked.extend(pairs) or [])
+    assert ids(whole) == want and not asked  # all are known
+    assert whole.n_known == whole.known.sum() and len(whole.made) == merge_dropout.VARIANTS * len(whole.numbers)
+    monkeypatch.setattr(merge_dropout, "REMEMBERED", 50)
+    monkeypatch.setattr(merge_dropout, "GROUP", 150)
+    small = merge_dropout.Vocabulary(path)
+    assert ids(small) == want and ids(small) == want
+    assert small.n_known == small.known.sum() < whole.n_known
+    assert len(small.known) == len(small.made) == merge_dropout.VARIANTS * len(small.numbers)
+    assert all(bool(x) == bool(k) for x, k in zip(small.made, small.known))
+
+
 def test_words_side_by_side_as_by_the_agenda(monkeypatch):
     path = vocabulary("piece_bpe_32k.model")
     rng = np.random.default_rng(3)

@@ -14,6 +14,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -52,6 +53,14 @@ def _drawn(base: np.ndarray, place: np.ndarray, piece: np.ndarray) -> np.ndarray
     return x ^ (x >> np.uint64(31))
 
 
+class _Numbers(dict):
+    """Words numbered as they come; the last ones can be taken back."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Pieces:
     """What each id decodes to."""
 
@@ -72,8 +81,7 @@ class Pieces:
                 self.bytes_of[i] = piece.replace(SPACE, " ").encode()
 
     def decode(self, ids) -> str:
-        table = self.bytes_of
-        return b"".join([table[i] for i in ids]).decode("utf-8", "surrogatepass")
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "surrogatepass")
 
 
 class Vocabulary(Pieces):
@@ -81,7 +89,11 @@ class Vocabulary(Pieces):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.known: dict = {}
+        # Word k has the pairs from VARIANTS * k on; `made` has the ids of those that are `known`.
+        self.numbers = _Numbers()
+        self.made: list[bytes] = []
+        self.known = np.zeros(0, bool)
+        self.n_known = 0
         self._merges()
 
     def _merges(self) -> None:
@@ -204,33 +216,34 @@ class Vocabulary(Pieces):
         """Ids of (word, variant) pairs: short words of one length together, longer ones alone."""
         from xxhash import xxh64_intdigest
 
-        limit = min(int(dropout * (1 << 64)), _ALL)
-        bases = np.array([xxh64_intdigest(f"{v}\0{w}".encode("utf-8", "surrogatepass"), seed & _ALL)
-                          for w, v in pairs], np.uint64)
+        limit, key = min(int(dropout * (1 << 64)), _ALL), seed & _ALL
+        bases = np.array([xxh64_intdigest(f"{v}\0{w}".encode("utf-8", "surrogatepass"), key) for w, v in pairs],
+                         np.uint64)
+        words = [w for w, _ in pairs]
+        widths = np.fromiter(map(len, words), np.int64, len(words))
+        by_width = np.argsort(widths, kind="stable")
         out: list[bytes] = [b""] * len(pairs)
-        by_length: dict[int, list[int]] = {}
-        for at, (word, _) in enumerate(pairs):
-            by_length.setdefault(len(word), []).append(at)
-        for width, places in by_length.items():
+        for places in np.split(by_width, np.flatnonzero(np.diff(widths[by_width])) + 1):
+            width = int(widths[places[0]]) if len(places) else 0
             if width > SIDE_BY_SIDE:
-                for at in places:
-                    out[at] = self._written(pairs[at][0], self.segment(pairs[at][0], int(bases[at]), limit))
+                for at in places.tolist():
+                    out[at] = self._written(words[at], self.segment(words[at], int(bases[at]), limit))
                 continue
             for k in range(0, len(places), TOGETHER):
-                some = places[k:k + TOGETHER]
-                start = self.symbols([pairs[at][0] for at in some]).reshape(len(some), width)
-                sym = self._segment_alike(start, bases[some], limit)
+                chosen = places[k:k + TOGETHER]
+                some = chosen.tolist()
+                start = self.symbols([words[at] for at in some]).reshape(len(some), width)
+                sym = self._segment_alike(start, bases[chosen], limit)
                 # Words of pieces alone are cut from one array; the others are written one by one.
                 there = sym != -1
                 odd = (there & ((sym < 0) | (sym >= len(self.bytes_of)))).any(axis=1)
                 raw = sym[there].astype(np.int32).tobytes()
-                ends = (4 * np.cumsum(there.sum(axis=1))).tolist()
                 begin = 0
-                for at, end in zip(some, ends):
+                for at, end in zip(some, (4 * np.cumsum(there.sum(axis=1))).tolist()):
                     out[at] = raw[begin:end]
                     begin = end
                 for k_odd in np.flatnonzero(odd).tolist():
-                    word = pairs[some[k_odd]][0]
+                    word = words[some[k_odd]]
                     placed = [(i, s) for i, s in enumerate(sym[k_odd].tolist()) if s != -1]
                     out[some[k_odd]] = self._written(word, placed)
         return out
@@ -240,25 +253,44 @@ class Vocabulary(Pieces):
 
         The first word of a text carries no extra space in front.
         """
-        known, parts = self.known, []
-        for text, document in zip(texts, documents):
-            words = _WORD.findall(text)
-            if dropout:
-                # A keyed mix of document and place gives each occurrence its variant.
-                place = np.arange(len(words), dtype=np.uint64) + np.uint64((document ^ seed) & _ALL)
-                place = (place ^ (place >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-                variants = ((place >> np.uint64(32)).astype(np.int64) % VARIANTS).tolist()
-            else:
-                variants = [0] * len(words)
-            parts.append(list(zip(words, variants)))
-        new = list({pair for part in parts for pair in part if pair not in known})
-        room = len(known) < REMEMBERED
-        known.update(zip(new, self.segment_all(new, seed, dropout)))
-        of = known.__getitem__
-        out = [np.frombuffer(b"".join(map(of, part)), np.int32) for part in parts]
-        if not room:
+        numbers, made = self.numbers, self.made
+        before, room = len(numbers), self.n_known < REMEMBERED
+        parts = [_WORD.findall(text) for text in texts]
+        words = list(chain.from_iterable(parts))
+        pairs = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)) * VARIANTS
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        ends = np.cumsum(sizes)
+        if dropout:
+            # A keyed mix of document and place gives each occurrence its variant.
+            place = (np.arange(len(words)) - np.repeat(ends - sizes, sizes)).astype(np.uint64) + np.repeat(
+                np.array([(d ^ seed) & _ALL for d in documents], np.uint64), sizes)
+            place = (place ^ (place >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            pairs += (place >> np.uint64(32)).astype(np.int64) % VARIANTS
+        grown = VARIANTS * (len(numbers) - before)
+        made += [b""] * grown
+        self.known = np.append(self.known, np.zeros(grown, bool))
+        lacking = np.flatnonzero(~self.known[pairs])
+        new, first = np.unique(pairs[lacking], return_index=True)
+        segmented = self.segment_all(
+            list(zip(map(words.__getitem__, lacking[first].tolist()), (new % VARIANTS).tolist())), seed, dropout)
+        new = new.tolist()
+        for pair, ids in zip(new, segmented):
+            made[pair] = ids
+        ids_of = list(map(made.__getitem__, pairs.tolist()))
+        out, start = [], 0
+        for end in ends.tolist():
+            out.append(np.frombuffer(b"".join(ids_of[start:end]), np.int32))
+            start = end
+        if room:
+            self.known[new] = True
+            self.n_known += len(new)
+        else:
             for pair in new:
-                del known[pair]
+                made[pair] = b""
+            for _ in range(len(numbers) - before):
+                numbers.popitem()
+            del made[VARIANTS * before:]
+            self.known = self.known[:VARIANTS * before]
         return out
 
     def encode(self, texts: list[str | None], documents: list[int], seed: int,
