@@ -1,5 +1,6 @@
 """The text operators against brute force, and on odd rows."""
 
+import pickle
 import re
 from collections import Counter
 
@@ -356,6 +357,34 @@ def test_kneser_ney_shards_agree(spark, monkeypatch, docs):
         assert r["log_ppl"] == pytest.approx(one[r["row"]["doc_id"]], nan_ok=True)
 
 
+def test_kneser_ney_shards_are_bounded_and_packed_by_tasks(spark, monkeypatch, docs, none):
+    texts = [("en", "the cat sat on the mat. " * 8), ("fr", "le chat. " * 9), ("de", "der Hund und die Katze")]
+    model = kneser_ney.train(spark.createDataFrame(texts, "lang string, text string"))
+
+    def scores():
+        return {r["row"]["doc_id"]: r["log_ppl"] for r in kneser_ney.perplexity(docs, model).collect()}
+
+    one = scores()
+    monkeypatch.setattr(kneser_ney, "SHARD_ROWS", 40)
+    sent = []
+    context = type(spark.sparkContext)
+    whole = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: sent.append(value) or whole(self, value))
+    for rows_per_pass in (kneser_ney.PASS_ROWS, 150):
+        monkeypatch.setattr(kneser_ney, "PASS_ROWS", rows_per_pass)
+        got = scores()
+        assert got.keys() == one.keys()
+        assert all(got[k] == pytest.approx(one[k], nan_ok=True) for k in one)
+    # What the driver passes on at once has one language, and of long entries no more than a shard and a pair.
+    shards = [pickle.loads(x) for x in sent]
+    assert len(shards) > 8 and all(len(s.langs) == 1 for s in shards)
+    assert all(sum(len(gram) for (_, kind, size), (gram, _) in s.tables.items()
+                   if size >= 3 or size == 2 and kind == "g") < 80 for s in shards)
+    monkeypatch.undo()
+    assert kneser_ney.perplexity(none, model).count() == 0
+    assert kneser_ney.perplexity(docs, model.limit(0)).where("log_ppl IS NOT NULL").count() == 0
+
+
 def test_kneser_ney_judges(spark, none, docs, rows):
     rng = np.random.default_rng(3)
     texts = [(i, prose(rng, 80), "en") for i in range(80)] + [(100, "%$#@!^ *&()_ zqzq xkxk " * 20, "en"), (101, "", None)]

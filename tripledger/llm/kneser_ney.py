@@ -5,17 +5,22 @@ trusted text. Counts, continuation counts, discounts and probabilities are table
 language and n-gram, and every step between them is a join or an aggregation sharded by that key.
 
 Scoring needs for each byte the probability of its n-gram, or those of shorter ones and the
-weights of its contexts. All of these share the two bytes before it, so the tables are cut into
-model shards by (language, these two bytes), none above `SHARD_ROWS` rows unless one such pair
-is; each shard in turn is sent to the tasks, and every document adds up its share.
+weights of its contexts. All of these share the two bytes before it, so the tables of a language
+are cut into model shards by these two bytes, none above `SHARD_ROWS` rows unless one such pair
+is. Tasks sort and pack the shards; the driver passes them on one after the other and never holds
+the model. A pass over the texts takes shards of up to `PASS_ROWS` rows in all, and every document
+adds up its share.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +30,8 @@ from tripledger.llm.common import packed
 from tripledger.sources.scratch import materialize
 
 ORDER = 5
-SHARD_ROWS = 2_000_000
+SHARD_ROWS = 500_000
+PASS_ROWS = 16_000_000
 #: A threshold lies `REACH` times as far above the median of trusted texts as this quantile.
 QUANTILE = 0.95
 REACH = 3.0
@@ -35,6 +41,8 @@ BIN = 0.001
 CHUNK = 2_000_000
 #: Language of the model that scores languages without trusted text.
 POOLED = ""
+#: Kind of rows that name a pair which another shard than the language's first one scores.
+ELSEWHERE = "e"
 
 
 def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -141,9 +149,9 @@ def train(trusted: DataFrame) -> DataFrame:
     return out
 
 
-def _shards(model: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """The model with a shard number (-1: needed by every shard), the shard of each pair, and how many."""
-    # The two bytes before the scored one; shorter entries go to all shards (at most 65,793 a language).
+def _shards(model: DataFrame) -> DataFrame:
+    """The model's shards: `lang`, `shard`, its rows `n` and the `packed` shard itself."""
+    # The two bytes before the scored one; shorter entries go to all shards of their language (at most 65,793).
     pair = (F.when(F.col("kind") == "p", F.shiftright("gram", 8)).otherwise(F.col("gram"))).bitwiseAND(0xFFFF)
     local = ((F.col("kind") == "p") & (F.col("size") >= 3)) | ((F.col("kind") == "g") & (F.col("size") >= 2))
     rows = materialize(model.withColumn("pair", F.when(local, pair)), "model")
@@ -152,9 +160,31 @@ def _shards(model: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     upto = F.sum("n").over(Window.partitionBy("lang").orderBy("pair")) - F.col("n")
     cut = sizes.withColumn("shard", F.floor(upto / SHARD_ROWS).cast("int")).select("lang", "pair", "shard")
     cut = materialize(cut, "model-shards")
-    n = (cut.agg(F.max("shard")).first()[0] or 0) + 1
-    placed = rows.join(cut, ["lang", "pair"], "left").withColumn("shard", F.coalesce("shard", F.lit(-1)))
-    return materialize(placed.select("lang", "kind", "size", "gram", "value", "pair", "shard"), "model"), cut, n
+    columns = ("lang", "shard", "kind", "size", "gram", "value")
+    placed = rows.where("pair IS NOT NULL").join(cut, ["lang", "pair"]).select(*columns).unionByName(
+        rows.where("pair IS NULL").join(cut.select("lang", "shard").distinct(), "lang").select(*columns)).unionByName(
+        cut.where("shard > 0").select("lang", F.lit(0).alias("shard"), F.lit(ELSEWHERE).alias("kind"),
+                                      F.lit(0).alias("size"), F.col("pair").alias("gram"), F.lit(0.0).alias("value")))
+    packed = placed.groupBy("lang", "shard").applyInArrow(_packed, "lang string, shard int, n long, packed binary")
+    return materialize(packed, "model-packed")
+
+
+def _packed(key: tuple, table: pa.Table) -> pa.Table:
+    lang, number = (k.as_py() for k in key)
+    away = pc.equal(table.column("kind"), ELSEWHERE)
+    elsewhere = pa.table({"lang": table.column("lang"), "pair": table.column("gram")}).filter(away)
+    shard = _Shard(table.filter(pc.invert(away)), None if number else elsewhere, False)
+    return pa.table({"lang": pa.array([lang], pa.string()), "shard": pa.array([number], pa.int32()),
+                     "n": pa.array([table.num_rows], pa.int64()), "packed": pa.array([pickle.dumps(shard)], pa.binary())})
+
+
+def _by_value(column: pa.ChunkedArray) -> dict[str, np.ndarray]:
+    """Which rows have each value of a column of few values."""
+    coded = pa.concat_arrays(column.chunks).dictionary_encode() if len(column) else None
+    if coded is None:
+        return {}
+    at = coded.indices.to_numpy()
+    return {x: at == k for k, x in enumerate(coded.dictionary.to_pylist())}
 
 
 class _Shard:
@@ -165,21 +195,21 @@ class _Shard:
         self.tables = {}
         self.elsewhere = None
         if elsewhere is not None:
-            names = np.array(elsewhere.column("lang").to_pylist(), object)
             pairs = elsewhere.column("pair").to_numpy()
-            self.elsewhere = {x: pairs[names == x] for x in set(names)}
-        lang = np.array(table.column("lang").to_pylist(), object)
-        kind = np.array(table.column("kind").to_pylist(), object)
+            self.elsewhere = {x: pairs[own] for x, own in _by_value(elsewhere.column("lang")).items()}
+        langs, kinds = _by_value(table.column("lang")), _by_value(table.column("kind"))
         size, gram = table.column("size").to_numpy(), table.column("gram").to_numpy()
         value = table.column("value").to_numpy()
-        local = ((kind == "p") & (size >= 3)) | ((kind == "g") & (size >= 2))
-        pair = np.where(kind == "p", gram >> 8, gram) & 0xFFFF
-        self.pairs = None if whole else {x: np.unique(pair[local & (lang == x)]) for x in set(lang)}
-        self.langs = set(lang)
-        for x in self.langs:
-            for k, sizes in (("p", range(1, ORDER + 1)), ("g", range(ORDER))):
+        none = np.zeros(len(gram), bool)
+        of_p, of_g = kinds.get("p", none), kinds.get("g", none)
+        local = (of_p & (size >= 3)) | (of_g & (size >= 2))
+        pair = np.where(of_p, gram >> 8, gram) & 0xFFFF
+        self.pairs = None if whole else {x: np.unique(pair[local & own]) for x, own in langs.items()}
+        self.langs = set(langs)
+        for x, own in langs.items():
+            for k, of_kind, sizes in (("p", of_p, range(1, ORDER + 1)), ("g", of_g, range(ORDER))):
                 for s in sizes:
-                    at = np.flatnonzero((lang == x) & (kind == k) & (size == s))
+                    at = np.flatnonzero(own & of_kind & (size == s))
                     at = at[np.argsort(gram[at])]
                     self.tables[x, k, s] = gram[at], value[at]
 
@@ -211,7 +241,8 @@ class _Shard:
         return np.isin((gram >> 8) & 0xFFFF, self.pairs.get(lang, ()))
 
 
-def _scored(shard: _Shard):
+def _scored(shards: dict[str, list[Broadcast]], languages: set[str]):
+    """Adds what `shards` (packed, by language) score; `languages` have a model of their own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -220,19 +251,24 @@ def _scored(shard: _Shard):
             scored = np.array(batch.column("n_scored").to_numpy(zero_copy_only=False))
             by_lang: dict[str, list[int]] = {}
             for i, x in enumerate(langs):
-                by_lang.setdefault(x if x in shard.langs else POOLED, []).append(i)
+                by_lang.setdefault(x if x in languages else POOLED, []).append(i)
             for lang, rows in by_lang.items():
+                if lang not in shards:
+                    continue
                 own = [texts[i] or "" for i in rows]
                 for a, b in _chunks(own):
                     code, lengths = _grams(own[a:b])
                     if not len(code):
                         continue
                     distinct = np.unique(code)
-                    value = shard.log_p(lang, distinct)
-                    here = shard.mine(lang, distinct)
+                    value, here = np.zeros(len(distinct)), np.zeros(len(distinct), bool)
+                    for packed in shards[lang]:  # one at a time is unpacked
+                        shard = pickle.loads(packed.value)
+                        mine = np.flatnonzero(shard.mine(lang, distinct))
+                        value[mine], here[mine] = shard.log_p(lang, distinct[mine]), True
                     at = np.searchsorted(distinct, code)
                     ends = np.cumsum(lengths)
-                    for out, of in ((total, np.where(here, value, 0.0)), (scored, here.astype(np.int64))):
+                    for out, of in ((total, value), (scored, here.astype(np.int64))):
                         upto = np.append(0, np.cumsum(of[at]))
                         out[rows[a:b]] += (upto[ends] - upto[ends - lengths]).astype(out.dtype)
             cols = [batch.column(n) for n in ("row", "text", "lang")]
@@ -255,16 +291,19 @@ def perplexity(docs: DataFrame, model: DataFrame, text: str = "text", lang: str
                        F.coalesce(F.col(lang), F.lit(POOLED)).alias("lang"),
                        F.lit(0.0).alias("log_p"), F.lit(0).cast("long").alias("n_scored"))
     schema = rows.schema
-    placed, cut, n = _shards(model)
-    for k in range(n):
-        part = placed.where(F.col("shard").isin(-1, k)).select("lang", "kind", "size", "gram", "value").toArrow()
-        if not part.num_rows:
-            break
-        elsewhere = cut.where("shard > 0").select("lang", "pair").toArrow() if k == 0 and n > 1 else None
-        shard = spark.sparkContext.broadcast(_Shard(part, elsewhere, n == 1))
-        rows = rows.mapInArrow(lambda b, s=shard: _scored(s.value)(b), schema)
-        if k < n - 1:
-            rows = materialize(rows, "scored")
+    shards = _shards(model)
+    sizes = shards.select("lang", "n").collect()  # one row per shard
+    languages, left = {r["lang"] for r in sizes}, sum(r["n"] for r in sizes)
+    held: dict[str, list[Broadcast]] = {}
+    n_held = 0
+    for shard in shards.toLocalIterator():  # a partition at a time is with the driver
+        held.setdefault(shard["lang"], []).append(spark.sparkContext.broadcast(bytes(shard["packed"])))
+        n_held, left = n_held + shard["n"], left - shard["n"]
+        if n_held >= PASS_ROWS or not left:
+            rows = rows.mapInArrow(_scored(held, languages), schema)
+            if left:
+                rows = materialize(rows, "scored")
+            held, n_held = {}, 0
     return rows.select("row", "lang", (-F.try_divide("log_p", F.col("n_scored"))).alias("log_ppl"))
 
 
