@@ -168,3 +168,24 @@ def test_whole_keys_keep_every_row(spark):
             tables.upsert_table(spark.createDataFrame(rows, schema), path, ["k"], "t", part, whole_keys=True)
         got = [(r["k"], r["t"], r["v"], str(r["day"])) for r in tables.read_table(spark, path).collect()]
         assert Counter(got) == Counter([*second, first[3]])
+
+
+def test_many_incoming_keys_are_sorted_not_broadcast(spark, monkeypatch, tmp_path):
+    first = spark.createDataFrame([(k, 1, "d1") for k in ("a", "b", "c", None)], "k string, t int, day string")
+    second = spark.createDataFrame([("a", 2, "d2"), (None, 2, "d1"), ("e", 2, "d3"), ("e", 1, "d1")], first.schema)
+    for name, frame in (("first", first), ("second", second)):
+        frame.write.parquet(str(tmp_path / name))
+    first, second = (spark.read.parquet(str(tmp_path / name)) for name in ("first", "second"))
+    for few in (upsert.FEW_KEYS, 2):
+        monkeypatch.setattr(upsert, "FEW_KEYS", few)
+        kept = upsert.replace_keys(first, second, ["k"])
+        plan = kept._jdf.queryExecution().sparkPlan().toString()
+        assert ("SortMergeJoin" in plan) == (few == 2) and ("BroadcastHashJoin" in plan) == (few > 2)
+        plan = upsert.upsert_latest(first, second, ["k"], "t")._jdf.queryExecution().sparkPlan().toString()
+        assert ("SortMergeJoin" in plan) == (few == 2)
+        for part in (None, "day"):
+            path = str(tmp_path / f"{few}-{part}")
+            tables.upsert_table(first, path, ["k"], "t", part)
+            tables.upsert_table(second, path, ["k"], "t", part)
+            got = {tuple(map(str, r)) for r in tables.read_table(spark, path).select("k", "t", "day").collect()}
+            assert got == {("a", "2", "d2"), ("b", "1", "d1"), ("c", "1", "d1"), ("None", "2", "d1"), ("e", "2", "d3")}

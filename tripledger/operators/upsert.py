@@ -9,6 +9,9 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Up to so many incoming keys may be broadcast, about 130 bytes each in memory.
+FEW_KEYS = 200_000
+
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """The newest row per key; ties go to the greater values of the remaining columns.
@@ -28,10 +31,21 @@ def same_key(left: str, right: str, keys: Sequence[str]):
     return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
+def asked_keys(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of `incoming` as the side `f` of a join by `same_key`.
+
+    Spark expects of a table what its compressed files weigh, and would broadcast millions of
+    keys to every task. It has the choice while they are few; else both sides are sorted.
+    """
+    named = incoming.select(*keys)
+    if incoming.count() > FEW_KEYS:
+        named = named.hint("merge")
+    return named.alias("f")
+
+
 def replace_keys(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`target` in which all rows of the incoming keys give way to all rows of `incoming`."""
-    named = incoming.select(*keys).distinct().alias("f")
-    kept = target.alias("t").join(named, same_key("t", "f", keys), "left_anti")
+    kept = target.alias("t").join(asked_keys(incoming, keys), same_key("t", "f", keys), "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
@@ -44,7 +58,5 @@ def upsert_latest(
     changes nothing.
     """
     fresh = dedupe_latest(incoming, keys, order_by)
-    kept = target.alias("t").join(
-        fresh.select(*keys).alias("f"), same_key("t", "f", keys), "left_anti"
-    )
+    kept = target.alias("t").join(asked_keys(incoming, keys), same_key("t", "f", keys), "left_anti")
     return kept.unionByName(fresh)

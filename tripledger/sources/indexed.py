@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripledger.operators.upsert import dedupe_latest, same_key
+from tripledger.operators.upsert import asked_keys, dedupe_latest, same_key
 from tripledger.sources import paths
 from tripledger.sources.scratch import materialize
 
@@ -233,7 +233,7 @@ class IndexedTable:
         options, schema = self.options(record), T.StructType.fromJson(record["schema"])
         keys = list(options.keys)
         live = self.files(record)
-        asked = fresh.select(*keys).alias("f")
+        asked = asked_keys(fresh, keys)
         opened = self._candidates(live, self._probe(fresh, options))
         removed, rows = [], fresh
         if opened:

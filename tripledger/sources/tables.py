@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.operators.upsert import dedupe_latest, replace_keys, same_key, upsert_latest
+from tripledger.operators.upsert import asked_keys, dedupe_latest, replace_keys, same_key, upsert_latest
 from tripledger.sources import paths
 from tripledger.sources.scratch import materialize
 
@@ -88,13 +88,10 @@ def _write_partitions(incoming, path, keys, order_by, partition_by, whole_keys)
                 "f.*", *[F.col(f"t._stored.{c}").alias(c) for c in stored]),
             "upsert-incoming")
     # A key may have moved: its old partition is touched as well as its new one.
-    moved = current.alias("t").join(
-        fresh.select(*keys).alias("f"), same_key("t", "f", keys), "left_semi"
-    )
+    asked = asked_keys(fresh, keys)
+    moved = current.alias("t").join(asked, same_key("t", "f", keys), "left_semi")
     touched = _values(moved.select(partition_by).union(fresh.select(partition_by)), partition_by)
-    kept = current.filter(_one_of(partition_by, touched)).alias("t").join(
-        fresh.select(*keys).alias("f"), same_key("t", "f", keys), "left_anti"
-    )
+    kept = current.filter(_one_of(partition_by, touched)).alias("t").join(asked, same_key("t", "f", keys), "left_anti")
     merged = materialize(kept.unionByName(fresh, allowMissingColumns=True), "upsert-merged")
     filled = _values(merged.select(partition_by), partition_by)
     _overwrite_partitions(merged, path, partition_by)
