@@ -199,3 +199,22 @@ def test_landed_messages_reach_the_jobs(spark, tmp_path):
     assert spark.read.parquet(f"{root.replace('raw', 'r')}/reconciled_transactions").count() == 1
     assert jobs.feature_job(spark, settings, **days).count() >= 1
     assert spark.read.text(f"{root}/zone=quarantine").count() == 1
+
+
+def test_rows_of_a_user_are_ordered_by_time_alone_where_times_differ(monkeypatch):
+    import pandas as pd
+
+    from tripledger.streaming import rules
+
+    def frame(times):
+        return pd.DataFrame({
+            "event_time": pd.to_datetime(times), "transaction_id": [f"t{9 - i}" for i in range(len(times))],
+            "source": None, "amount": 1.0, "status": "ok"})
+
+    apart = frame(["2024-01-03", "2024-01-01", "2024-01-02"])
+    tied = frame(["2024-01-03", "2024-01-01", "2024-01-03", None])
+    for rows in (apart, tied, frame(["2024-01-01", None])):
+        want = rows.sort_values(rules._ORDER, na_position="first", kind="stable")
+        assert rules._ordered(rows)["transaction_id"].tolist() == want["transaction_id"].tolist()
+    monkeypatch.setattr(pd.DataFrame, "sort_values", None)
+    assert rules._ordered(apart)["transaction_id"].tolist() == ["t8", "t7", "t9"]

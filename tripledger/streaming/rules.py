@@ -71,6 +71,21 @@ def verdict_lines(
     return good.select(F.coalesce("line", alerts.alert_text(threshold)).alias("value"))
 
 
+def _ordering():
+    """A function that orders a user's rows. Tasks get it by value, as they may not have this package."""
+
+    def ordered(rows: pd.DataFrame) -> pd.DataFrame:
+        times = rows["event_time"]
+        if times.is_unique and not times.hasnans:  # by time alone takes a fraction of the time
+            return rows.take(times.to_numpy().argsort(kind="stable"))
+        return rows.sort_values(_ORDER, na_position="first", kind="stable")
+
+    return ordered
+
+
+_ordered = _ordering()
+
+
 def fraud_rules_stream(
     txns: DataFrame,
     *,
@@ -118,19 +133,22 @@ def fraud_rules_stream(
             for part in chunks:
                 yield part.assign(txn_count=0)[out.names]
             return
-        rows = pd.concat(list(chunks)).sort_values(_ORDER, na_position="first", kind="stable")
+        parts = list(chunks)
+        rows = _ordered(parts[0] if len(parts) == 1 else pd.concat(parts))
         n, total, large = state.get if state.exists else (0, Decimal(0), 0.0)
-        rows["txn_count"] = range(n + 1, n + len(rows) + 1)
-        totals = list(accumulate(rows["total"], _EXACT.add, initial=total))[1:]
-        rows["total"] = totals
-        rows["large"] = list(accumulate(rows["large"], initial=large))[1:]
-        state.update((n + len(rows), totals[-1], float(rows["large"].iloc[-1])))
+        run = {
+            "txn_count": range(n + 1, n + len(rows) + 1),
+            "total": list(accumulate(rows["total"], _EXACT.add, initial=total))[1:],
+            "large": list(accumulate(rows["large"], initial=large))[1:],
+        }
+        state.update((n + len(rows), run["total"][-1], float(run["large"][-1])))
         if forget_ms is not None:
             newest = rows["event_time"].max()
             if not pd.isna(newest):
                 latest = max(int(newest.timestamp() * 1000), state.getCurrentWatermarkMs())
                 state.setTimeoutTimestamp(latest + forget_ms)
-        yield rows[out.names]
+        # One new frame: setting columns of many small ones costs more than their rows.
+        yield pd.DataFrame({c: run[c] if c in run else rows[c].array for c in out.names})
 
     counted = keyed.groupBy("user_id").applyInPandasWithState(advance, out, _STATE, "append", timeout)
     totals = counted.withColumn("txn_total", money.known_total("total", F.nullif("large", F.lit(0.0))))
