@@ -240,6 +240,61 @@ def test_large_benchmarks_take_the_join(spark, docs, monkeypatch):
     assert decontam.contaminated(docs, bench).where("contaminated").count() == want
 
 
+@pytest.mark.parametrize("listed", [1 << 22, 1])
+def test_passages_in_long_texts(spark, monkeypatch, listed):
+    """A text of 60,000 words that repeats a passage keeps what its hits need, and no more."""
+    monkeypatch.setattr(decontam, "LISTED", listed)
+    rng = np.random.default_rng(8)
+    words = BENCH.split()
+    inside = prose(rng, 2100).split()
+    at = [0, 1, *range(1000, 1032, 4), len(inside) - 13, len(inside)]
+    texts = [" ".join(inside[:k] + words[2:15] + inside[k:]) for k in at]
+    texts += [" ".join(inside[:k] + words[2:9] + ["x"] * 3 + words[12:15] + inside[k:]) for k in at]
+    texts += [" ".join([BENCH] * 3000), prose(rng, 60_000), " ".join(words[:8]), " ".join(words[:9]), "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(7, BENCH), (5, BENCH.upper() + " upsilon")], "item_id long, text string")
+    got = {r["row"]["doc_id"]: (r["contaminated"], r["item"]) for r in decontam.contaminated(docs, bench).collect()}
+    assert len(got) == len(texts)
+    assert {k for k, (yes, _) in got.items() if yes} == {*range(len(at)), 2 * len(at)}
+    assert {item for yes, item in got.values() if yes} == {5}
+
+
+def test_verdicts_against_plain_windows(spark):
+    """Every aligned pair of places around a shared seed, judged in plain Python."""
+    rng = np.random.default_rng(9)
+    items = [[f"w{x}" for x in rng.integers(0, 400, n)] for n in (9, 10, 11, 12, 13, 14, 30, 45)]
+    texts = []
+    for _ in range(150):
+        part = list(items[rng.integers(0, len(items))])
+        for k in rng.integers(0, len(part), rng.integers(0, 5)):
+            part[k] = "other"
+        texts.append([f"v{x}" for x in rng.integers(0, 400, rng.integers(0, 30))] + part
+                     + [f"v{x}" for x in rng.integers(0, 400, rng.integers(0, 30))])
+
+    def seeds(a, i):
+        return {(m, tuple(a[i + k] for k, bit in enumerate(mask) if bit == "1")) for m, mask in enumerate(decontam.MASKS)}
+
+    def found(text, item):
+        width = min(len(item), decontam.WINDOW)
+        need = decontam.AGREE if width == decontam.WINDOW else -(-width * 8 // 10)
+        for i in range(len(text) - 8):
+            for j in range(len(item) - 8):
+                if seeds(text, i) & seeds(item, j):
+                    same = [0 <= i + k < len(text) and 0 <= j + k < len(item) and text[i + k] == item[j + k]
+                            for k in range(-decontam.BEFORE, decontam.AFTER + 1)]
+                    if any(sum(same[k:k + width]) >= need for k in range(len(same) - width + 1)):
+                        return True
+        return False
+
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    want = {i: [k for k, item in enumerate(items) if found(t, item)] for i, t in enumerate(texts)}
+    assert 0 < sum(map(bool, want.values())) < len(texts)
+    for r in decontam.contaminated(docs, bench).collect():
+        hits = want[r["row"]["doc_id"]]
+        assert (r["contaminated"], r["item"], r["n_items"]) == (bool(hits), min(hits, default=None), len(hits))
+
+
 def test_merge_dropout_is_lossless(docs, none, rows):
     path = vocabulary("piece_bpe_32k.model")
     got = merge_dropout.encode(docs, path)

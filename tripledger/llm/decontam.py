@@ -9,6 +9,8 @@ shorter item).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +22,13 @@ MASKS = ("110101101", "111001011", "110110011")
 SPAN = 9
 WINDOW = 13
 AGREE = 11
-#: Tokens kept on either side of a hit's first token.
+#: Tokens kept on either side of a hit's first token, and all of them.
 BEFORE, AFTER = WINDOW - 1, SPAN + WINDOW - 2
-#: Up to this many distinct test hashes travel as a list inside the filter (8 bytes each).
-LISTED = 200_000
+AROUND = BEFORE + 1 + AFTER
+#: Places of a text that a row holds; longer texts are cut into several rows.
+STEP = 1024
+#: Words of 64 bits, at most, of the table of test hashes that goes to every task.
+LISTED = 1 << 22
 
 
 def tokens(text: Column) -> Column:
@@ -32,65 +37,88 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(plain, SPACE), "")
 
 
-def _masked(i: Column, mask: int) -> Column:
-    """Hash of the tokens that a mask selects from the one at `i` (from 0) on."""
-    picked = [F.get("hs", i + k) for k, bit in enumerate(MASKS[mask]) if bit == "1"]
+# Filters on computed arrays, and explode() which implies one, are avoided below: Spark would move
+# them under the projections and compute the arrays anew for every element of a lambda. What follows
+# an explode holds one piece only: Spark keeps all rows exploded from one row in memory at once.
+def _places(df: DataFrame, text: str, **more: Column) -> DataFrame:
+    """A row for each place where a mask fits: `toks` and `hs` of a piece of the text, the place `i`
+    in it, the text's number of tokens `n`; `toks` is null beyond the ends of the text."""
+    blank = F.lit(None).cast("string")
+    df = df.select(*[c.alias(n) for n, c in more.items()], tokens(F.col(text).cast("string")).alias("toks"))
+    df = df.select(*more, F.size("toks").alias("n"), F.concat(
+        F.array_repeat(blank, BEFORE), "toks", F.array_repeat(blank, AFTER)).alias("toks"))
+    starts = F.when(F.col("n") >= SPAN, F.sequence(F.lit(0), F.col("n") - SPAN, F.lit(STEP)))
+    pieces = F.transform(starts, lambda at: F.slice("toks", at + 1, STEP + AROUND + SPAN - 2))
+    df = df.select(*more, "n", pieces.alias("pieces"))
+    df = df.select(*more, "n", F.explode_outer("pieces").alias("toks")).where("toks IS NOT NULL")
+    df = df.withColumn("hs", F.transform("toks", lambda w: F.xxhash64(w)))
+    return df.select(*more, "n", "toks", "hs", F.explode_outer(
+        F.sequence(F.lit(0), F.size("toks") - (AROUND + SPAN - 1))).alias("i"))
+
+
+def _masked(mask: int) -> Column:
+    """Hash of the tokens that a mask selects from the place `i` on."""
+    picked = [F.get("hs", F.col("i") + BEFORE + k) for k, bit in enumerate(MASKS[mask]) if bit == "1"]
     return F.xxhash64(F.lit(mask), *picked)
 
 
-def _around(i: Column) -> Column:
-    """Tokens from `BEFORE` before to `AFTER` after the one at `i`; null beyond the ends."""
-    return F.transform(F.sequence(i - BEFORE, i + AFTER), lambda j: F.get("toks", j))
+def _hashes() -> Column:
+    return F.array(*[_masked(m) for m in range(len(MASKS))])
 
 
-# Filters on computed arrays, and explode() which implies one, are avoided below: Spark would move
-# them under the projections and compute the arrays anew for every element of a lambda.
-def _tokenized(df: DataFrame, text: str, **more: Column) -> DataFrame:
-    toks = df.select(*[c.alias(n) for n, c in more.items()], tokens(F.col(text).cast("string")).alias("toks"))
-    return toks.withColumn("hs", F.transform("toks", lambda w: F.xxhash64(w)))
+def _around() -> Column:
+    """Tokens from `BEFORE` before to `AFTER` after the place `i`; null beyond the ends."""
+    return F.slice("toks", F.col("i") + 1, AROUND)
 
 
-def _starts() -> Column:
-    """Places where a mask fits; null where none does."""
-    return F.when(F.size("hs") >= SPAN, F.sequence(F.lit(0), F.size("hs") - SPAN))
+def test_hashes(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """Distinct (`around`, `width`) of all items, their `hashes`, and the smallest item id."""
+    return _places(benchmark, text, item=F.col(item)).select(
+        "item", _hashes().alias("hashes"), _around().alias("around"),
+        F.least("n", F.lit(WINDOW)).alias("width"),
+    ).groupBy("hashes", "around", "width").agg(F.min("item").alias("item"))
+
+
+def _listed(hashes: DataFrame, size: int) -> tuple[DataFrame, Column, Column]:
+    """One row with `size` words of 64 bits, in which each hash has set 3 bits of one word; the
+    number of a hash's word, and its bits."""
+    word = F.expr(f"pmod(hash, {size}L)")
+    bits = F.expr(" | ".join(f"shiftleft(1L, CAST(shiftrightunsigned(hash, {k}) & 63 AS int))" for k in (46, 52, 58)))
+    every = hashes.sparkSession.range(size).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = hashes.select(word.alias("word"), bits.alias("bits")).union(every).groupBy("word").agg(
+        F.expr("bit_or(bits)").alias("bits"))
+    for part in (F.shiftright("word", 12), None):  # stretches first: the last task reads few rows
+        in_order = F.array_sort(F.collect_list(F.struct("word", "bits")))["bits"]
+        words = (words.groupBy() if part is None else words.groupBy(part.alias("part"))).agg(
+            F.flatten(in_order).alias("bits") if part is None else in_order.alias("bits"))
+        words = words if part is None else words.withColumnRenamed("part", "word")
+    return words, word, bits
 
 
-def test_hashes(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """Distinct (`hash`, `pair`, `around`, `width`) of all items, with the smallest item id."""
-    seeds = F.flatten(F.transform(_starts(), lambda i: F.array(*[
-        F.struct(_masked(i, m).alias("hash"), i.alias("i")) for m in range(len(MASKS))])))
-    rows = _tokenized(benchmark, text, item=F.col(item)).select(
-        "item", "toks", "hs", F.explode_outer(seeds).alias("s"))
-    return rows.where("s IS NOT NULL").select(
-        "item", F.col("s.hash").alias("hash"), _around(F.col("s.i")).alias("around"),
-        F.xxhash64(F.get("hs", F.col("s.i")), F.get("hs", F.col("s.i") + 1)).alias("pair"),
-        F.least(F.size("toks"), F.lit(WINDOW)).alias("width"),
-    ).groupBy("hash", "pair", "around", "width").agg(F.min("item").alias("item"))
+def _hits(docs: DataFrame, tests: DataFrame, key: str, text: str) -> DataFrame:
+    """Places in documents whose masked hash some test item has, and a few others."""
+    more = {"key": F.col(key), "body": F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))}
+    size = max(1, min(LISTED, tests.count() * len(MASKS)))
+    words, word, bits = _listed(tests.select(F.explode("hashes").alias("hash")), size)
+    seeds = _places(docs, text, **more).select(*more, "toks", "i", F.explode_outer(_hashes()).alias("hash"))
+    return seeds.where(F.get(words.scalar(), word.cast("int")).bitwiseAND(bits) == bits).select(
+        *more, "hash", _around().alias("found"))
 
 
-def _listed(tests: DataFrame, column: str) -> str:
-    values = ", ".join(f"{r[0]}L" if r[0] != -(1 << 63) else "(-9223372036854775807L - 1L)"
-                         for r in tests.select(column).distinct().collect())
-    return values or "NULL"
+def _same() -> Column:
+    """Bit k is 1 if the tokens at k of `found` and `around` are equal."""
+    equal = [F.when(F.get("found", F.lit(k)) == F.get("around", F.lit(k)), F.lit(1 << k).cast("long"))
+             .otherwise(F.lit(0).cast("long")) for k in range(AROUND)]
+    return reduce(Column.bitwiseOR, equal)
 
 
-def _hits(docs: DataFrame, tests: DataFrame, key: str, text: str) -> DataFrame:
-    """Places in documents whose masked hash some test item has."""
-    more = {"key": F.col(key), "body": F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))}
-    rows = _tokenized(docs, text, **more)
-    # A test set of bounded size is first looked up as a list; a larger one by the join alone.
-    few = tests.select("hash").distinct().count() <= LISTED
-    at = _starts()
-    if few:
-        pair = f"xxhash64(hs[i], hs[i + 1]) IN ({_listed(tests, 'pair')})"
-        at = F.expr(f"CASE WHEN size(hs) >= {SPAN} THEN filter(sequence(0, size(hs) - {SPAN}), i -> {pair}) END")
-    seeds = F.flatten(F.transform("at", lambda i: F.array(*[
-        F.struct(_masked(i, m).alias("hash"), i.alias("i")) for m in range(len(MASKS))])))
-    rows = rows.withColumn("at", at).withColumn("seeds", seeds)
-    if few:
-        rows = rows.withColumn("seeds", F.expr(f"filter(seeds, s -> s.hash IN ({_listed(tests, 'hash')}))"))
-    return rows.select("key", "body", "toks", F.explode_outer("seeds").alias("s")).where("s IS NOT NULL").select(
-        "key", "body", F.col("s.hash").alias("hash"), _around(F.col("s.i")).alias("found"))
+def _agreeing() -> Column:
+    """Some window that holds the hit's first token, and lies in the kept tokens, agrees."""
+    need = F.when(F.col("width") == WINDOW, F.lit(AGREE)).otherwise(F.ceil(F.col("width") * 0.8))
+    windows = [(F.col("width") <= AROUND - k)
+               & (F.expr(f"bit_count(shiftrightunsigned(same, {k}) & (shiftleft(1L, width) - 1L))") >= need)
+               for k in range(AROUND - SPAN + 1)]
+    return reduce(Column.__or__, windows)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
@@ -104,15 +132,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """
     tests = materialize(test_hashes(benchmark, item, item_text), "tests")
     hits = _hits(docs, tests, key, text)
-    same = F.zip_with("found", "around", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0)))
-    # Windows that hold the hit's first token and do not leave the kept surroundings.
-    agreeing = F.exists(
-        F.sequence(F.lit(1), F.lit(BEFORE + AFTER + 2) - F.col("width")),
-        lambda i: F.aggregate(F.slice("same", i, F.col("width")), F.lit(0), lambda a, x: a + x)
-        >= F.when(F.col("width") == WINDOW, F.lit(AGREE)).otherwise(F.ceil(F.col("width") * 0.8)))
     verified = (
-        hits.join(tests.select("hash", "around", "width", "item"), "hash")
-        .withColumn("same", same).where(agreeing)
+        hits.join(tests.select(F.explode("hashes").alias("hash"), "around", "width", "item"), "hash")
+        .select("key", "body", "item", "width", F.explode_outer(F.array(_same())).alias("same"))
+        .where(_agreeing())
         .groupBy("key", "body").agg(F.min("item").alias("item"), F.count_distinct("item").alias("n_items"))
     )
     verified = materialize(verified, "verified")
