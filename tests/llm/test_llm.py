@@ -240,7 +240,7 @@ def test_large_benchmarks_take_the_join(spark, docs, monkeypatch):
     assert decontam.contaminated(docs, bench).where("contaminated").count() == want
 
 
-@pytest.mark.parametrize("listed", [1 << 22, 1])
+@pytest.mark.parametrize("listed", [1 << 21, 1])
 def test_passages_in_long_texts(spark, monkeypatch, listed):
     """A text of 60,000 words that repeats a passage keeps what its hits need, and no more."""
     monkeypatch.setattr(decontam, "LISTED", listed)

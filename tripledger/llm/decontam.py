@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripledger.llm.common import SPACE, packed
 from tripledger.sources.scratch import materialize
 
-#: 1: the token counts; 0: it is ignored. Every mask begins with two selected tokens.
+#: 1: the token counts; 0: it is ignored.
 MASKS = ("110101101", "111001011", "110110011")
 SPAN = 9
 WINDOW = 13
@@ -28,7 +28,7 @@ AROUND = BEFORE + 1 + AFTER
 #: Places of a text that a row holds; longer texts are cut into several rows.
 STEP = 1024
 #: Words of 64 bits, at most, of the table of test hashes that goes to every task.
-LISTED = 1 << 22
+LISTED = 1 << 21
 
 
 def tokens(text: Column) -> Column:
@@ -87,18 +87,16 @@ def _listed(hashes: DataFrame, size: int) -> tuple[DataFrame, Column, Column]:
     every = hashes.sparkSession.range(size).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
     words = hashes.select(word.alias("word"), bits.alias("bits")).union(every).groupBy("word").agg(
         F.expr("bit_or(bits)").alias("bits"))
-    for part in (F.shiftright("word", 12), None):  # stretches first: the last task reads few rows
-        in_order = F.array_sort(F.collect_list(F.struct("word", "bits")))["bits"]
-        words = (words.groupBy() if part is None else words.groupBy(part.alias("part"))).agg(
-            F.flatten(in_order).alias("bits") if part is None else in_order.alias("bits"))
-        words = words if part is None else words.withColumnRenamed("part", "word")
-    return words, word, bits
+    # Stretches first, so that the last task reads few rows.
+    in_order = lambda by: F.array_sort(F.collect_list(F.struct(by, "bits")))["bits"]
+    stretches = words.groupBy(F.shiftright("word", 12).alias("stretch")).agg(in_order("word").alias("bits"))
+    return stretches.agg(F.flatten(in_order("stretch"))), word, bits
 
 
 def _hits(docs: DataFrame, tests: DataFrame, key: str, text: str) -> DataFrame:
     """Places in documents whose masked hash some test item has, and a few others."""
     more = {"key": F.col(key), "body": F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))}
-    size = max(1, min(LISTED, tests.count() * len(MASKS)))
+    size = max(1, min(LISTED, 4 * len(MASKS) * tests.count()))
     words, word, bits = _listed(tests.select(F.explode("hashes").alias("hash")), size)
     seeds = _places(docs, text, **more).select(*more, "toks", "i", F.explode_outer(_hashes()).alias("hash"))
     return seeds.where(F.get(words.scalar(), word.cast("int")).bitwiseAND(bits) == bits).select(
@@ -132,8 +130,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """
     tests = materialize(test_hashes(benchmark, item, item_text), "tests")
     hits = _hits(docs, tests, key, text)
+    # The files of the tests are some 70 times smaller than their rows, so Spark must not judge by them.
+    by_hash = tests.select(F.explode("hashes").alias("hash"), "around", "width", "item").hint("merge")
     verified = (
-        hits.join(tests.select(F.explode("hashes").alias("hash"), "around", "width", "item"), "hash")
+        hits.join(by_hash, "hash")
         .select("key", "body", "item", "width", F.explode_outer(F.array(_same())).alias("same"))
         .where(_agreeing())
         .groupBy("key", "body").agg(F.min("item").alias("item"), F.count_distinct("item").alias("n_items"))
